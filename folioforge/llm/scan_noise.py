@@ -40,6 +40,9 @@ CONFUSIONS = (
 )
 CONFUSION_COST = 0.4
 
+# Labels of blocks that are titles of the content.
+TITLES = ("paragraph_title", "doc_title", "title", "heading", "table", "image", "figure_title", "content")
+
 HYPHENS = "-­‐‑¬⁃"
 _LINES = re.compile(r"\r\n|\r|\n")
 _BROKEN = re.compile(rf"([^\W\d_])[{HYPHENS}][ \t\xa0]*$")
@@ -51,6 +54,7 @@ _BARE = re.compile(_NUMERAL, re.I)
 _AFFIX = re.compile(rf"^(?P<a>{_NUMERAL}|[–—-]\s*{_NUMERAL}\s*[–—-]|\[{_NUMERAL}\])\s+[|·•]?\s*(?P<rest>\S.*)$|^(?P<rest2>.*\S)\s*(?:\s|[|·•])\s*(?P<b>{_NUMERAL}|(?:p\.|page)\s*{_NUMERAL}|[–—-]\s*{_NUMERAL}\s*[–—-]|\[{_NUMERAL}\])$", re.I)
 _TOKEN = re.compile(r"[\w@|!$]{3,}")
 _END = re.compile(r"[.!?:;,。！？؟।…]['\"”’»)\]]*$")
+_INNER = re.compile(rf"[^\W\d_]{{2}}[.!?;:,]\s|[{HYPHENS}]\s*$")
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 
 
@@ -104,7 +108,7 @@ def split_number(line: str, page: int | None) -> tuple[str, bool]:
 def may_run(line: str) -> bool:
     """Whether a line could be a running line: two to ten words, no sentence end, a capital or lookalike first."""
     text = line.strip(" \t\xa0|·•")
-    if not 5 <= len(text) <= 90 or _END.search(text):
+    if not 5 <= len(text) <= 90 or _END.search(text) or _INNER.search(text):
         return False
     words = text.split()
     return 2 <= len(words) <= 10 and text[0].isupper() and not any(w.isdigit() for w in words) and sum(w[0].isalpha() for w in words) >= len(words) - 1
@@ -145,9 +149,11 @@ class Block:
         return None
 
     def interrupts(self, i: int) -> bool:
-        """A candidate between the halves of a sentence."""
+        """A candidate in title case between the halves of a sentence."""
         before, after = self.neighbour(i, -1), self.neighbour(i, 1)
-        return bool(before and after and not _END.search(before) and after[0].islower())
+        words = self.lines[i].strip(" \t\xa0|·•").split()
+        titled = 2 * sum(w[0].isupper() for w in words) >= len(words)
+        return bool(titled and before and after and not _END.search(before) and after[0].islower())
 
     def breaks(self) -> list[tuple[int, int]]:
         """(line, line on which it goes on) for each word cut at a line end."""
@@ -199,7 +205,7 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if k == "num":
                     found.append(("num", source, doc, id_, i, None, 1, 0, 0, True))
                 elif k == "run" and (b.whole or i in b.numbered or b.interrupts(i) or len(b.lines) > 1):
-                    found.append(("line", source, doc, id_, i, b.folds[i], 1, int(b.whole and furniture), -1 if b.whole else int(b.interrupts(i)), i in b.numbered))
+                    found.append(("line", source, doc, id_, i, b.folds[i], 1, int(b.whole and furniture), -int(label in TITLES) if b.whole else int(b.interrupts(i)), i in b.numbered))
             if not b.whole:
                 found += [("broken", source, doc, id_, i, None, 1, 0, 0, False) for i, _ in b.breaks()]
             tokens = _TOKEN.findall(_GLUE.sub("", text).casefold())
@@ -331,17 +337,24 @@ def suspects_of(known: frozenset):
 
 
 def running_lines(lines: DataFrame) -> DataFrame:
-    """Folded running lines of the corpus: lines labelled head or foot more often than other whole blocks are, or lines
-    that interrupted sentences at least twice and mostly stand where they interrupt."""
+    """Folded running lines of the corpus: lines labelled head or foot at least as often as they are titles, or lines in
+    title case that interrupted sentences at least twice and at least as often as they stood elsewhere in a text."""
     votes = lines.groupBy("key").agg(
         F.sum("label_votes").alias("labelled"),
         F.sum((F.col("breaks_in") == 1).cast("int")).alias("interrupting"),
-        F.sum(((F.col("breaks_in") == -1) & (F.col("label_votes") == 0)).cast("int")).alias("content"),
-        F.sum((F.col("breaks_in") == 0).cast("int")).alias("flowing"),
+        F.sum((F.col("breaks_in") == -1).cast("int")).alias("titles"),
+        F.sum(((F.col("breaks_in") == 0) & (F.col("label_votes") == 0)).cast("int")).alias("flowing"),
     )
-    labelled = (F.col("labelled") >= 1) & (F.col("labelled") >= F.col("content"))
-    inside = (F.col("interrupting") >= 2) & (F.col("interrupting") >= F.col("flowing")) & (F.col("interrupting") + F.col("labelled") > F.col("content"))
-    return votes.where(labelled | inside).select("key")
+    labelled = (F.col("labelled") >= 1) & (F.col("labelled") >= F.col("titles"))
+    inside = (F.col("interrupting") >= 2) & (F.col("interrupting") >= F.col("flowing")) & (F.col("interrupting") > F.col("titles"))
+    sure = votes.where(labelled | inside).select("key")
+    # a catalog's lines differ from those of its sister volumes in the last word: a line that is never a title is one too
+    # if it stood alone or interrupted, and all its words but the last begin several known lines
+    stem = F.regexp_replace("key", " [^ ]+$", "")
+    stems = sure.groupBy(stem.alias("stem")).count().where("count >= 2 and stem like '% %'").select("stem")
+    alone = lines.where("breaks_in = 1 or (breaks_in = 0 and line = 0)").select("key").distinct()
+    sisters = votes.where("titles = 0").join(alone, "key", "left_semi").withColumn("stem", stem).join(stems, "stem", "left_semi").select("key")
+    return sure.unionByName(sisters).distinct()
 
 
 def scan_findings(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
