@@ -74,7 +74,7 @@ _FOLD = str.maketrans({"1": "l", "|": "l", "!": "l", "i": "l", "0": "o", "5": "s
 
 def fold_line(line: str) -> str:
     """One form for all prints and misreadings of a running line: case, blanks, bars and lookalike signs do not matter."""
-    text = line.casefold().replace("rn", "m").replace("ii", "u").replace("vv", "w").replace("ri", "n").replace("cl", "d").translate(_FOLD)
+    text = line.strip(" \t\xa0|·•").casefold().replace("rn", "m").replace("ii", "u").replace("vv", "w").replace("ri", "n").replace("cl", "d").translate(_FOLD)
     return " ".join("".join(ch if ch.isalnum() else " " for ch in text).split())
 
 
