@@ -33,6 +33,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, where it is used many times or inside a lambda."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def strip(c: str | Column) -> Column:
     """Without white space of any script at either end."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")

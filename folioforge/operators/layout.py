@@ -34,7 +34,7 @@ def box(b: str | Column) -> Column:
 def is_specification(text: str | Column) -> Column:
     """Two 'key: value' lines, or three lines of which two hold a colon."""
     text = col(text)
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return (F.regexp_count(text, F.lit(KEY_VALUE)) >= 2) | ((F.size(lines) >= 3) & (F.size(F.filter(lines, lambda x: x.contains(":"))) >= 2))
 
 

@@ -33,10 +33,10 @@ def running(df: DataFrame, doc: list[str], page: str, order: list, values: dict[
 
 def neighbour(df: DataFrame, doc: list[str], page: str, order: list, value: Column, name: str) -> DataFrame:
     """Adds the value of the previous row of the document, over page ends; null for the first row."""
-    df = df.withColumn("_page", F.coalesce(F.col(page), F.lit(0))).withColumn("_value", F.struct(value.alias("v")))
+    df = df.withColumn("_page", F.coalesce(F.col(page), F.lit(0))).withColumn("_nb_value", F.struct(value.alias("v")))
     inside = Window.partitionBy(*doc, "_page").orderBy(*order)
-    df = df.withColumn("_prev", F.lag("_value").over(inside)).withColumn("_last", F.lead("_value").over(inside).isNull())
-    ends = df.where("_last").select(*doc, "_page", F.col("_value").alias("_end"))
+    df = df.withColumn("_nb_prev", F.lag("_nb_value").over(inside)).withColumn("_nb_last", F.lead("_nb_value").over(inside).isNull())
+    ends = df.where("_nb_last").select(*doc, "_page", F.col("_nb_value").alias("_nb_end"))
     over = Window.partitionBy(*doc).orderBy("_page")
-    ends = ends.select(*doc, "_page", F.lag("_end").over(over).alias("_end"))
-    return df.join(ends, [*doc, "_page"], "left").withColumn(name, F.coalesce("_prev", "_end")["v"]).drop("_page", "_value", "_prev", "_last", "_end")
+    ends = ends.select(*doc, "_page", F.lag("_nb_end").over(over).alias("_nb_end"))
+    return df.join(ends, [*doc, "_page"], "left").withColumn(name, F.coalesce("_nb_prev", "_nb_end")["v"]).drop("_page", "_nb_value", "_nb_prev", "_nb_last", "_nb_end")

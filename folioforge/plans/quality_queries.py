@@ -1,6 +1,122 @@
+"""Queries of the quality checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from folioforge.functions import text as tx
+from folioforge.operators import graph, normalize, quality
+from folioforge.plans.common import BLOCKS, blocks, once, sql_strip
+from folioforge.plans.record_queries import A, I, P, attributes, clean, filled, products
+from folioforge.plans.table_queries import ROW_CODE
+
+
+def _issues(spark, sf_dir):
+    p, a = products(spark, sf_dir), attributes(spark, sf_dir)
+    return (
+        quality.product_issues(p).unionByName(quality.attribute_issues(a)).unionByName(quality.duplicate_codes(p)).unionByName(quality.orphaned_attributes(a, p))
+        .unionByName(quality.orphaned_attributes(a, p, "chunk")).unionByName(quality.ambiguous_owners(a, p)).unionByName(quality.relation_issues(graph.product_relations(p)))
+    )
+
+
+def q_report(spark, sf_dir):
+    return quality.report(_issues(spark, sf_dir))
+
+
+def q_missing_codes(spark, sf_dir):
+    b = blocks(spark, sf_dir).where("text like '%|%'")
+    found = b.select("doc_stem", F.explode(F.regexp_extract_all("text", F.lit(rf"\|\s*({ROW_CODE})\s*\|"), F.lit(1))).alias("code"))
+    return quality.missing_codes(found, products(spark, sf_dir))
+
+
+def q_orphans(spark, sf_dir):
+    p, a = products(spark, sf_dir), attributes(spark, sf_dir)
+    return quality.orphaned_attributes(a, p).unionByName(quality.orphaned_attributes(a, p, "chunk"))
+
+
+def q_upsert(spark, sf_dir):
+    """Codes of table rows merged into the products of their document."""
+    b = blocks(spark, sf_dir).where("text like '%|%'")
+    found = b.select("doc_stem", F.explode(F.regexp_extract_all("text", F.lit(rf"\|\s*({ROW_CODE})\s*\|"), F.lit(1))).alias("sku"), F.regexp_replace("chunk_id", "__part[0-9]+$", "").alias("chunk_id"))
+    found = found.groupBy("doc_stem", F.upper("sku").alias("sku")).agg(F.min("chunk_id").alias("chunk_id"))
+    have = products(spark, sf_dir).where("trim(sku) <> ''").groupBy("doc_stem", F.upper(tx.strip("sku")).alias("sku")).agg(F.min("chunk_id").alias("chunk_id"))
+    return normalize.upsert(found, have, ["doc_stem", "sku"], ["chunk_id"])
+
+
+def q_conflicts(spark, sf_dir):
+    return quality.code_conflicts(products(spark, sf_dir))
+
+
+def q_garbage(spark, sf_dir):
+    d = once(spark, sf_dir, "documents", "doc_id", "text")
+    return d.select("doc_id", F.round(tx.odd_share("text"), 9).alias("odd_share"))
+
+
+def q_unsupported(spark, sf_dir):
+    return quality.unsupported_codes(products(spark, sf_dir), blocks(spark, sf_dir))
+
+
+def q_issue_summary(spark, sf_dir):
+    """Reported issues by severity, code and month."""
+    i = once(spark, sf_dir, "review_issues")
+    return i.groupBy("severity", F.coalesce(F.trim("code"), F.lit("")).alias("code"), F.date_format("raised_at", "yyyy-MM").alias("period")).agg(F.count(F.lit(1)).alias("issues"), F.count_distinct("doc_stem").alias("documents"))
+
+
+def q_provenance(spark, sf_dir):
+    return quality.provenance(products(spark, sf_dir), blocks(spark, sf_dir)).select("product_id", *[F.col(c).cast("bigint").alias(c) for c in ("first_page", "last_page", "blocks")])
+
+
 def queries():
-    return {}
+    return {
+        "q21_missing_codes": q_missing_codes, "q22_orphan_attributes": q_orphans, "q23_reconcile_upsert": q_upsert, "q26_quality_report": q_report, "q27_model_conflicts": q_conflicts,
+        "q28_garbage_ratio": q_garbage, "q53_unsupported_codes": q_unsupported, "q54_issue_summary": q_issue_summary, "q55_provenance": q_provenance,
+    }
+
+
+_ODD = r"'[^\x20-\x7E\x{{a0}}-\x{{24f}}\x{{4e00}}-\x{{9fff}}]'"
+
+
+def _share(c):
+    return f"(length({c}) - length(regexp_replace({c}, {_ODD.format()}, '', 'g')))::double / greatest(length({c}), 1)"
+
+
+def _blank(c):
+    return f"coalesce({sql_strip(c)}, '') = ''"
+
+
+_KNOWN = "known as (select distinct doc_stem, unnest([name, sku]) e from p), near as (select distinct doc_stem, chunk_id, unnest([lower(name), lower(sku)]) e from p)"
+_DOC = "select 'ORPHANED_ATTRIBUTE' as \"rule\", 'error' severity, doc_stem, attr_id record_id from a where not exists (select 1 from known k where k.doc_stem = a.doc_stem and k.e = a.entity)"
+_CHUNK = f"select 'ORPHANED_ATTRIBUTE_IN_CHUNK', 'warning', doc_stem, attr_id from a where not exists (select 1 from near k where k.doc_stem = a.doc_stem and k.chunk_id = a.chunk_id and k.e = lower({sql_strip('a.entity')}))"
+_FOUND = rf"found as (select doc_stem, upper(unnest(regexp_extract_all(text, '\|\s*({ROW_CODE})\s*\|', 1))) code, chunk_id from blocks where text like '%|%')"
 
 
 def oracle_sql():
-    return {}
+    return {
+        "q21_missing_codes": f"with {BLOCKS}, {P}, {_FOUND} select distinct doc_stem, code from found f where not exists (select 1 from p where p.doc_stem = f.doc_stem and upper({sql_strip('p.sku')}) = f.code)",
+        "q22_orphan_attributes": f"with {P}, {A}, {_KNOWN} {_DOC} union all {_CHUNK}",
+        "q23_reconcile_upsert": f"""with {BLOCKS}, {P}, {_FOUND}, b as (select doc_stem, code sku, min(regexp_replace(chunk_id, '__part[0-9]+$', '')) chunk_id from found group by 1, 2),
+  h as (select doc_stem, upper({sql_strip('sku')}) sku, min(chunk_id) chunk_id from p where trim(sku) <> '' group by 1, 2)
+  select coalesce(h.doc_stem, b.doc_stem) doc_stem, coalesce(h.sku, b.sku) sku, coalesce(h.chunk_id, b.chunk_id) chunk_id, case when h.sku is null then 'added' when b.sku is null then 'kept' else 'merged' end origin from h full join b on h.doc_stem = b.doc_stem and h.sku = b.sku""",
+        "q26_quality_report": f"""with {P}, {A}, {I}, {_KNOWN}, dup as (select product_id, doc_stem, min(product_id) over (partition by doc_stem, upper({sql_strip('sku')})) f from p where not ({_blank('sku')})),
+  own as (select doc_stem, unnest([name, {filled('sku')}]) e, kind || chr(31) || ident k from i), many as (select doc_stem, e from own where e is not null group by 1, 2 having count(distinct k) > 1),
+  hd as (select doc_stem, variant_group, min(ident) obj from i where kind = 'sku' and variant_group is not null group by 1, 2),
+  rel as (select i.doc_stem, i.ident s, hd.obj o, product_id from i join hd on i.doc_stem = hd.doc_stem and i.variant_group = hd.variant_group where kind = 'sku' and ident <> obj),
+  u as (select 'SCHEMA_ERROR' as "rule", 'error' severity, doc_stem, product_id record_id from p where {_blank('name')}
+  union all select 'SHORT_NAME', 'warning', doc_stem, product_id from p where not ({_blank('name')}) and length({sql_strip('name')}) < 2
+  union all select 'GARBAGE_TEXT', 'warning', doc_stem, product_id from p where {_share('name')} > 0.15
+  union all select 'MISSING_SKU', 'info', doc_stem, product_id from p where {_blank('sku')}
+  union all select 'MATERIAL_IS_NOT_MODEL', 'info', doc_stem, product_id from p where regexp_matches({sql_strip('model')}, '{quality.MATERIAL}')
+  union all select 'SCHEMA_ERROR', 'error', doc_stem, attr_id from a where {_blank('entity')} or {_blank('key')} or {_blank('value')}
+  union all select 'GARBAGE_TEXT', 'warning', doc_stem, attr_id from a where {_share('value')} > 0.15
+  union all select 'VALUE_TOO_LONG', 'warning', doc_stem, attr_id from a where length(value) > 500
+  union all select 'DUPLICATE_SKU', 'warning', doc_stem, product_id from dup where product_id <> f
+  union all {_DOC} union all {_CHUNK}
+  union all select 'AMBIGUOUS_ATTRIBUTE_OWNER', 'error', doc_stem, attr_id from a where exists (select 1 from many m where m.doc_stem = a.doc_stem and m.e = a.entity)
+  union all select 'SCHEMA_ERROR', 'error', doc_stem, product_id from rel where lower(s) = lower(o))
+  select "rule", severity, count(*) n, count(distinct doc_stem) documents from u group by 1, 2""",
+        "q27_model_conflicts": f"""with {P} select 'CONFLICTING_SKU_MODEL' as "rule", 'error' severity, doc_stem, {sql_strip('sku')} subject, count(distinct {sql_strip('model')}) choices from p where not ({_blank('sku')}) and not ({_blank('model')}) group by 3, 4 having count(distinct {sql_strip('model')}) > 1
+  union all select 'MULTIPLE_MODEL_CATEGORIES', 'warning', doc_stem, {sql_strip('model')}, count(distinct {sql_strip('category')}) from p where not ({_blank('model')}) and not ({_blank('category')}) group by 3, 4 having count(distinct {sql_strip('category')}) > 1""",
+        "q28_garbage_ratio": f"with d as (select distinct doc_id, text from documents) select doc_id, round({_share('text')}, 9) odd_share from d",
+        "q54_issue_summary": "with i as (select distinct * exclude (ingested_at) from review_issues) select severity, coalesce(trim(code), '') code, strftime(raised_at, '%Y-%m') period, count(*) issues, count(distinct doc_stem) documents from i group by 1, 2, 3",
+        "q55_provenance": f"with {BLOCKS}, {P}, c as (select doc_stem, chunk_id, min(page) f, max(page) l, count(*) n from blocks where chunk_id is not null group by 1, 2) select product_id, f::bigint first_page, l::bigint last_page, n as blocks from p left join c on c.doc_stem = p.doc_stem and c.chunk_id = regexp_replace(p.chunk_id, '__part[0-9]+$', '')",
+    }

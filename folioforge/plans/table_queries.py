@@ -1,6 +1,138 @@
+"""Queries of the table, evidence and reply operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from folioforge.functions import text as tx
+from folioforge.operators import evidence, replies, tables
+from folioforge.plans.common import BLOCKS, blocks, once, sql_lines
+from folioforge.plans.record_queries import P, R, products, runs
+
+#: Codes as they stand in table rows of the catalogs.
+ROW_CODE = "[a-z]{3}[0-9]{5}[a-z]"
+
+
+def q_windows(spark, sf_dir):
+    d = once(spark, sf_dir, "documents", "doc_id", "text").where("text is not null")
+    return d.select("doc_id", F.explode(evidence.windows("text")).alias("w")).select("doc_id", F.col("w.offset").cast("bigint").alias("offset"), F.length("w.text").cast("bigint").alias("chars"), F.md5("w.text").alias("digest"))
+
+
+def _texts(spark, sf_dir):
+    return blocks(spark, sf_dir).where("chunk_id is not null and text is not null and type = 'paragraph'")
+
+
+def q_budget(spark, sf_dir):
+    return evidence.budgeted(_texts(spark, sf_dir), 1500).select("doc_stem", "id", "kept")
+
+
+def _records(spark, sf_dir):
+    r = evidence.text_records(_texts(spark, sf_dir))
+    return r.withColumn("size", F.length("text")).withColumn("dense", evidence.is_dense("text"))
+
+
+def q_pack(spark, sf_dir):
+    """Packs of each chunk with their records and sizes."""
+    return evidence.pack(_records(spark, sf_dir)).groupBy("doc_stem", "chunk_id", "pack").agg(F.count(F.lit(1)).alias("records"), F.sum("size").alias("chars"))
+
+
+def q_requests(spark, sf_dir):
+    r = _records(spark, sf_dir)
+    return evidence.requests(r, evidence.pack(r)).select("request_id", "doc_stem", "continuation", "parts", tx.prompt_size("context")["tokens"].alias("tokens"))
+
+
+def _tables(spark, sf_dir):
+    return blocks(spark, sf_dir).where("text is not null and (type = 'table' or trim(text) like '|%')")
+
+
+def q_continuation(spark, sf_dir):
+    t = _tables(spark, sf_dir).where("chunk_id is not null").withColumn("headed", F.col("text").rlike(r"^\s*\|\s*[A-Z]"))
+    return evidence.continued_tables(t).select("doc_stem", "id", "continues")
+
+
+def q_markdown(spark, sf_dir):
+    m = _tables(spark, sf_dir).select("doc_stem", "id", F.posexplode(tables.markdown_rows("text")).alias("row_no", "r"))
+    return m.select("doc_stem", "id", F.col("row_no").cast("bigint").alias("row_no"), F.array_join("r.headers", "|").alias("headers"), F.array_join("r.cells", "|").alias("cells"))
+
+
+def q_html(spark, sf_dir):
+    rows = tables.table_rows(_tables(spark, sf_dir).where("lower(text) like '%<table%'"))
+    return rows.select("doc_stem", "id", "method", F.col("row_no").cast("bigint").alias("row_no"), F.array_join("headers", "|").alias("headers"), F.array_join("cells", "|").alias("cells"))
+
+
+def q_table_methods(spark, sf_dir):
+    """Rows by the way they were read, over all blocks of type table."""
+    return tables.table_rows(blocks(spark, sf_dir).where("type = 'table'")).groupBy("method").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_stem", "id").alias("tables"))
+
+
+def _code_rows(spark, sf_dir):
+    """Product records as table rows with a maker's column, a distributor's column, a variant and a displaced code."""
+    p = products(spark, sf_dir).where("trim(sku) <> ''")
+    code = tx.strip("sku")
+    headers = F.array(*[F.lit(h) for h in ("Part No.", "Order Code", "Description", "col_3", "col_4")])
+    cells = F.array(F.concat(F.lit("MK"), F.col("product_id").cast("string")), code, F.coalesce("name", F.lit("")), F.concat(code, F.lit("/M2")), F.regexp_replace(F.substring(code, 1, 6), "^([A-Z]{3})([0-9]{3})$", "$1$27"))
+    return p.select("product_id", headers.alias("headers"), cells.alias("cells"))
+
+
+def q_row_codes(spark, sf_dir):
+    return _code_rows(spark, sf_dir).select("product_id", F.array_join(tables.row_codes("headers", "cells"), ",").alias("codes"), F.array_join(tables.spilled_codes("headers", "cells"), ",").alias("spilled"))
+
+
+def q_code_amounts(spark, sf_dir):
+    b = blocks(spark, sf_dir).where("text like '%$%'").select("doc_stem", "id", F.explode(tables.code_amounts("text", ROW_CODE, sign=r"\$ ")).alias("x"))
+    return b.select("doc_stem", "id", "x.code", "x.amount")
+
+
+def q_replies(spark, sf_dir):
+    r = runs(spark, sf_dir)
+    return r.select("run_id", replies.reply_state("raw_response").alias("state"), replies.reply_count("raw_response", "products").alias("products"), replies.reply_count("raw_response", "attributes").alias("attributes"))
+
+
 def queries():
-    return {}
+    return {
+        "q29_evidence_windows": q_windows, "q30_paragraph_budget": q_budget, "q31_greedy_pack": q_pack, "q32_table_continuation": q_continuation, "q33_markdown_table": q_markdown,
+        "q34_row_codes": q_row_codes, "q35_inline_pairs": q_code_amounts, "q42_response_parse": q_replies, "q45_html_table_rows": q_html, "q51_requests": q_requests, "q52_table_methods": q_table_methods,
+    }
+
+
+_TABLES = "tb as (select * from blocks where text is not null and (type = 'table' or trim(text) like '|%'))"
+_TEXTS = "tx as (select * from blocks where chunk_id is not null and text is not null and type = 'paragraph')"
+_CELLS = r"list_transform(string_split(regexp_replace(regexp_replace(trim({0}), '^\|', ''), '\|$', ''), '|'), lambda x: trim(x))"
+_REC = f"""rec as (select doc_stem, chunk_id, page, block_order, id, unnest(generate_series(0, greatest(length(text) - 1, 0), 2800)) s, text from tx),
+  num as (select doc_stem, chunk_id, least(3000, length(text) - s) size, row_number() over (partition by doc_stem, chunk_id order by page, block_order, id, s) n from rec),
+  walk as (select doc_stem, chunk_id, n, size, 1 pack, 1 cnt, size as chars from num where n = 1
+    union all select w.doc_stem, w.chunk_id, x.n, x.size, case when w.chars + x.size > 6000 or w.cnt >= 8 then w.pack + 1 else w.pack end, case when w.chars + x.size > 6000 or w.cnt >= 8 then 1 else w.cnt + 1 end, case when w.chars + x.size > 6000 or w.cnt >= 8 then x.size else w.chars + x.size end
+    from walk w join num x on x.doc_stem = w.doc_stem and x.chunk_id = w.chunk_id and x.n = w.n + 1)"""
 
 
 def oracle_sql():
-    return {}
+    return {
+        "q29_evidence_windows": "with d as (select distinct doc_id, text from documents where text is not null), w as (select doc_id, text, unnest(generate_series(0, greatest(length(text) - 1, 0), 2800)) s from d) select doc_id, s::bigint as \"offset\", length(substr(text, s + 1, 3000)) chars, md5(substr(text, s + 1, 3000)) digest from w",
+        "q30_paragraph_budget": f"with {BLOCKS}, {_TEXTS}, c as (select *, sum(length(text)) over (partition by doc_stem, chunk_id order by coalesce(page, 0), block_order, id rows unbounded preceding) u from tx) select doc_stem, id, least(length(text), 1500 - (u - length(text)))::bigint kept from c where u - length(text) < 1500",
+        "q31_greedy_pack": f"with recursive {BLOCKS}, {_TEXTS}, {_REC} select doc_stem, chunk_id, pack, count(*) records, sum(size)::bigint chars from walk group by 1, 2, 3",
+        "q32_table_continuation": rf"""with {BLOCKS}, {_TABLES}, h as (select *, regexp_matches(text, '^\s*\|\s*[A-Z]') headed from tb where chunk_id is not null),
+  l as (select *, lag(id) over w pid, lag(page) over w pp, lag(headed) over w ph from h window w as (partition by doc_stem, chunk_id order by coalesce(page, 0), block_order, id))
+  select doc_stem, id, case when ph and not headed and page = pp + 1 then pid end as "continues" from l""",
+        "q33_markdown_table": rf"""with {BLOCKS}, {_TABLES}, l as (select doc_stem, id, list_filter(string_split({sql_lines('text')}, chr(10)), lambda x: trim(x) <> '') ls from tb),
+  f as (select *, list_position(list_transform(ls, lambda x: contains(x, '|')), true) a from l where list_contains(list_transform(ls, lambda x: contains(x, '|')), true)),
+  g as (select *, ls[a:] rest from f), k as (select *, coalesce(nullif(list_position(list_transform(rest, lambda x: contains(x, '|')), false), 0), len(rest) + 1) z from g),
+  b as (select doc_stem, id, rest[:z - 1] bl from k where z > 2),
+  c as (select doc_stem, id, list_transform(list_filter(bl, lambda x: not regexp_matches(x, '^\s*\|?[\s\-:]+(\|[\s\-:]+)*\|?\s*$')), lambda y: {_CELLS.format('y')}) cs from b),
+  r as (select doc_stem, id, cs[1] hd, unnest(cs[2:]) r, generate_subscripts(cs[2:], 1) n from c),
+  t as (select doc_stem, id, n, hd, list_transform(hd, lambda h, i: coalesce(r[i], '')) cells from r),
+  v as (select *, row_number() over (partition by doc_stem, id order by n) - 1 row_no from t where len(list_filter(cells, lambda x: x <> '')) > 0)
+  select doc_stem, id, row_no, array_to_string(hd, '|') headers, array_to_string(cells, '|') cells from v""",
+        "q34_row_codes": rf"""with {P}, s as (select product_id, regexp_replace(sku, '^\s+|\s+$', '', 'g') c, coalesce(name, '') nm from p where trim(sku) <> ''),
+  g as (select *, c || case when regexp_matches(nm, '^' || regexp_escape(c) || '/[A-Za-z0-9]{{1,4}}$') then ',' || nm else '' end || ',' || c || '/M2' codes, regexp_replace(substr(c, 1, 6), '^([A-Z]{{3}})([0-9]{{3}})$', '\1\27') sp from s)
+  select product_id, codes, case when regexp_matches(sp, '^[A-Z]{{2,6}}\d{{2,6}}(?:/[A-Z0-9]{{1,4}})?$') and sp <> c then sp else '' end spilled from g""",
+        "q35_inline_pairs": rf"""with {BLOCKS}, b as (select doc_stem, id, text from blocks where text like '%$%'),
+  x as (select doc_stem, id, unnest(regexp_extract_all(text, '(?:^|[^A-Za-z0-9])({ROW_CODE})[^A-Za-z0-9][^$]{{0,110}}?\$ (\d{{1,5}}\.\d{{2}})', 1)) code, unnest(regexp_extract_all(text, '(?:^|[^A-Za-z0-9])({ROW_CODE})[^A-Za-z0-9][^$]{{0,110}}?\$ (\d{{1,5}}\.\d{{2}})', 2)) amount from b)
+  select distinct doc_stem, id, code, amount from x""",
+        "q42_response_parse": rf"""with {R}, j as (select run_id, nullif(regexp_extract(regexp_replace(regexp_replace(raw_response, '(?s)<think>.*?</think>', '', 'g'), '```(?:json)?\s*', '', 'g'), '(?s)\{{.*\}}'), '') js from r),
+  k as (select run_id, js, replace(regexp_replace(js, ',\s*([}}\]])', '\1', 'g'), chr(39), '"') fixed from j),
+  m as (select run_id, case when js is null then 'no_object' when json_valid(js) then 'parsed' when json_valid(fixed) then 'repaired' else 'broken' end state, case when json_valid(js) then js when json_valid(fixed) then fixed end good from k)
+  select run_id, state, coalesce(try_cast(json_extract_string(good, '$.products') as bigint), json_array_length(good, '$.products')::bigint) products, coalesce(try_cast(json_extract_string(good, '$.attributes') as bigint), json_array_length(good, '$.attributes')::bigint) attributes from m""",
+        "q45_html_table_rows": rf"""with {BLOCKS}, {_TABLES}, t as (select doc_stem, id, list_transform(regexp_extract_all(regexp_extract(text, '(?s)<table.*?</table>'), '(?s)<tr>(.*?)</tr>', 1), lambda r: array_to_string(list_transform(regexp_extract_all(r, '(?s)<td>(.*?)</td>', 1), lambda c: trim(c)), '|')) rs from tb where lower(text) like '%<table%'),
+  u as (select doc_stem, id, unnest(rs) cells, generate_subscripts(rs, 1) n from t where len(rs) > 0), v as (select doc_stem, id, cells, min(n) n from u group by 1, 2, 3)
+  select doc_stem, id, 'html' as "method", row_number() over (partition by doc_stem, id order by n) - 1 row_no, array_to_string(list_transform(generate_series(0, len(cells) - len(replace(cells, '|', ''))), lambda i: 'col_' || i), '|') headers, cells from v""",
+    }
