@@ -80,8 +80,21 @@ def q_box_geometry(spark, sf_dir):
     return rounded(out, "width", "height", "centre", "gap", "overlap")
 
 
+def q_dynamic(spark, sf_dir):
+    b = blocks(spark, sf_dir)
+    return outline.dynamic_sections(b, outline.page_roles(b)).select("doc_stem", "id", "level", F.array_join("section_path", " > ").alias("section_path"), "chunk_no")
+
+
+def q_typed_stream(spark, sf_dir):
+    """Blocks of the pages that hold a heading, by type and level, as the stream types them."""
+    from folioforge.streaming.ingest import typed_blocks
+
+    return typed_blocks(pages(spark, sf_dir)).groupBy("type", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
 def queries():
     return {
+        "q56_dynamic_sections": q_dynamic, "q57_typed_blocks": q_typed_stream,
         "q07_page_blocks": q_page_blocks, "q08_block_type": q_block_type, "q09_heading_level": q_heading_level, "q10_reading_order": q_reading_order,
         "q11_section_path": q_section_path, "q12_container_attach": q_container, "q13_chunk_segment": q_chunks, "q14_score_join": q_score_join,
         "q43_index_entries": q_index_entries, "q44_page_role": q_page_role, "q46_chunk_summary": q_chunk_summary, "q47_markdown_blocks": q_markdown_blocks, "q48_box_geometry": q_box_geometry,
