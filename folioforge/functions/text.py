@@ -138,7 +138,7 @@ def within_heading(name: str | Column, heading: str | Column) -> Column:
 
 def holds_identifier(text: str | Column, code: str | Column) -> Column:
     """Whether text holds the code as a whole word, whatever signs the code has."""
-    return col(text).rlike(F.concat(F.lit(r"(?<!\w)\Q"), F.replace(col(code), F.lit(r"\E"), F.lit("")), F.lit(r"\E(?!\w)")))
+    return F.rlike(col(text), F.concat(F.lit(r"(?<!\w)\Q"), F.replace(col(code), F.lit(r"\E"), F.lit("")), F.lit(r"\E(?!\w)")))
 
 
 def odd_share(c: str | Column) -> Column:

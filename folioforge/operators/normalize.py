@@ -113,7 +113,7 @@ def resolve_owner(attributes: DataFrame, products: DataFrame) -> DataFrame:
     """Adds owner_ident: the product whose code is the entity, else the one product of that name, else null."""
     rows = identified(products).select(*IDENTITY, F.lower(clean("name")).alias("low")).distinct()
     by_code = rows.where("kind = 'sku'").select("doc_stem", F.col("ident").alias("_e"), F.col("ident").alias("by_code")).distinct()
-    by_name = rows.groupBy("doc_stem", F.col("low").alias("_n")).agg(F.min("ident").alias("by_name"), F.max("ident").alias("_x")).where("by_name = _x").drop("_x")
+    by_name = rows.where("low <> ''").groupBy("doc_stem", F.col("low").alias("_n")).agg(F.min("ident").alias("by_name"), F.max("ident").alias("_x")).where("by_name = _x").drop("_x")
     out = attributes.withColumn("_e", strip("entity")).withColumn("_n", F.lower(clean("entity")))
     return out.join(by_code, ["doc_stem", "_e"], "left").join(by_name, ["doc_stem", "_n"], "left").withColumn("owner_ident", F.coalesce("by_code", "by_name")).drop("_e", "_n", "by_code", "by_name")
 

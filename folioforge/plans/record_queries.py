@@ -202,7 +202,7 @@ prod as (select *, {jid('prod', 'doc_stem', 'name', "case when kind = 'sku' then
 attr as (select distinct {jid('attr', *[f"coalesce({c}, '')" for c in ('doc_stem', 'entity', 'key', 'value', 'unit', 'location', 'chunk_id')])} id, key as name, doc_stem, entity from a)"""
 
 OWNERS = f"""codes as (select distinct doc_stem, ident from i where kind = 'sku'),
-names as (select doc_stem, lower({clean('name')}) low, min(ident) ident from i group by 1, 2 having count(distinct ident) = 1)"""
+names as (select doc_stem, lower({clean('name')}) low, min(ident) ident from i where {clean('name')} <> '' group by 1, 2 having count(distinct ident) = 1)"""
 
 
 def oracle_sql():
