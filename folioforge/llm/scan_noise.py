@@ -47,6 +47,7 @@ HYPHENS = "-­‐‑¬⁃"
 _LINES = re.compile(r"\r\n|\r|\n")
 _BROKEN = re.compile(rf"([^\W\d_])[{HYPHENS}][ \t\xa0]*$")
 _GLUE = re.compile(rf"(?<=[^\W\d_])[{HYPHENS}][ \t\xa0]*(?:\r\n|\r|\n)\s*(?=[^\W\d_])")
+_CUT = re.compile(rf"[^\W\d_][{HYPHENS}][ \t\xa0]*[\r\n]")
 _JOINERS = re.compile(r"(?:and|or|to|und|oder|bis|et|ou|y|o)\b", re.I)
 _NUMERAL = r"(?:\d{1,4}|(?=[ivxlc])(?:x{0,3}c{0,3}l?x{0,3})(?:ix|iv|v?i{0,3}))"
 _STYLED = re.compile(rf"(?:p\.?|pp\.|pg\.?|page|seite|s\.|pág\.?|página)\s*{_NUMERAL}|\[\s*{_NUMERAL}\s*\]|\(\s*{_NUMERAL}\s*\)|[–—-]\s*{_NUMERAL}\s*[–—-]|{_NUMERAL}\s*(?:/|of|von|de)\s*\d{{1,4}}|[|·•]\s*{_NUMERAL}|{_NUMERAL}\s*[|·•]", re.I)
@@ -83,6 +84,11 @@ def is_table(text: str) -> bool:
     return "<table" in low or "<td" in low or (text.count("|") >= 4 and text.lstrip().startswith("|"))
 
 
+def glued(text: str) -> str:
+    """The text with words cut at line ends joined."""
+    return _GLUE.sub("", text) if "\n" in text or "\r" in text else text
+
+
 def page_number(line: str, page: int | None, label: str | None, inside: bool) -> bool:
     """A styled number counts wherever it stands alone; a bare one if it is the page's, or the block is furniture."""
     text = line.strip()
@@ -95,9 +101,16 @@ def page_number(line: str, page: int | None, label: str | None, inside: bool) ->
     return False
 
 
+_LETTERS = re.compile(r"[^\W\d_]{3}[^\n]*[^\W\d_]{3}")
+_EDGES = frozenset("0123456789[]–—-ivxlcIVXLC")
+
+
 def split_number(line: str, page: int | None) -> tuple[str, bool]:
     """The line without a page number at either end, and whether there was one."""
-    m = _AFFIX.match(line.strip())
+    text = line.strip()
+    if len(text) > 120 or (text[0] not in _EDGES and text[-1] not in _EDGES):
+        return line, False
+    m = _AFFIX.match(text)
     if m:
         number, rest = m["a"] or m["b"], m["rest"] or m["rest2"]
         if numeral(number) == page:
@@ -108,10 +121,10 @@ def split_number(line: str, page: int | None) -> tuple[str, bool]:
 def may_run(line: str) -> bool:
     """Whether a line could be a running line: two to ten words, no sentence end, a capital or lookalike first."""
     text = line.strip(" \t\xa0|·•")
-    if not 5 <= len(text) <= 90 or _END.search(text) or _INNER.search(text):
+    if not 5 <= len(text) <= 90 or not text[0].isupper() or text[-1] in ".!?:;,。！？" or _END.search(text) or _INNER.search(text):
         return False
     words = text.split()
-    return 2 <= len(words) <= 10 and text[0].isupper() and not any(w.isdigit() for w in words) and sum(w[0].isalpha() for w in words) >= len(words) - 1
+    return 2 <= len(words) <= 10 and not any(w.isdigit() for w in words) and sum(w[0].isalpha() for w in words) >= len(words) - 1
 
 
 class Block:
@@ -122,7 +135,7 @@ class Block:
         full = [i for i, x in enumerate(self.lines) if x.strip()]
         self.whole = len(full) == 1
         self.table = is_table(text)
-        inside = any(sum(ch.isalpha() for ch in self.lines[i]) > 6 for i in full)
+        inside = bool(_LETTERS.search(text))
         self.kind, self.folds, self.numbered = [], {}, set()
         for i, x in enumerate(self.lines):
             if not x.strip():
@@ -183,7 +196,7 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     pairs: Counter = Counter()
 
     def flush():
-        rows = [("word", w, n) for w, n in words.items() if sum(ch.isalpha() for ch in w) >= max(2, len(w) - 3)]
+        rows = [("word", w, n) for w, n in words.items() if likely(w)]
         cells: Counter = Counter()
         for (a, b), n in pairs.items():
             cells[zlib.crc32(f"{a} {b}".encode()) % BIGRAM_CELLS] += n
@@ -196,6 +209,12 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches:
         found = []
         for source, doc, id_, page, label, text in zip(frame["source_table"], frame["doc_stem"], frame["id"], frame["page"], frame["label"], frame["text"]):
+            if len(text) > 120 and "\n" not in text and "\r" not in text and "<" not in text and not text.lstrip().startswith("|"):
+                # one long line: no line of it can be furniture and no word is cut
+                tokens = _TOKEN.findall(text.casefold())
+                words.update(tokens)
+                pairs.update(zip(tokens, tokens[1:]))
+                continue
             page = None if pd.isna(page) else int(page)
             b = Block(text, page, label)
             if b.table:
@@ -208,7 +227,7 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     found.append(("line", source, doc, id_, i, b.folds[i], 1, int(b.whole and furniture), -int(label in TITLES) if b.whole else int(b.interrupts(i)), i in b.numbered))
             if not b.whole:
                 found += [("broken", source, doc, id_, i, None, 1, 0, 0, False) for i, _ in b.breaks()]
-            tokens = _TOKEN.findall(_GLUE.sub("", text).casefold())
+            tokens = _TOKEN.findall(glued(text).casefold())
             words.update(tokens)
             pairs.update(zip(tokens, tokens[1:]))
         if found:
@@ -286,6 +305,11 @@ def repair_table(words: DataFrame, min_count: int = 3) -> DataFrame:
     )
 
 
+def likely(token: str) -> bool:
+    """Whether a token could be a misread word: letters, but for three signs at most."""
+    return token.isalpha() or (not token.isdigit() and sum(map(str.isalpha, token)) >= max(2, len(token) - 3))
+
+
 SUSPECT = "source_table string, doc_stem string, id string, line int, token string, before string, after string, fold string"
 
 
@@ -295,9 +319,9 @@ def suspects_of(known: frozenset):
         for frame in batches:
             out = []
             for source, doc, id_, page, label, text in zip(frame["source_table"], frame["doc_stem"], frame["id"], frame["page"], frame["label"], frame["text"]):
-                low = text.casefold()
-                glued = _GLUE.sub("", low)
-                if all(t in known for t in _TOKEN.findall(glued)):
+                tokens_ = _TOKEN.findall(glued(text).casefold())
+                # a word cut by furniture between its halves is joined below only
+                if not _CUT.search(text) and (known.issuperset(tokens_) or not any(t not in known and likely(t) for t in tokens_)):
                     continue
                 b = Block(text, None if pd.isna(page) else int(page), label)
                 if b.table:
@@ -326,9 +350,8 @@ def suspects_of(known: frozenset):
                     tokens += [(t, i) for t in line]
                 for n, (t, i) in enumerate(tokens):
                     if t not in known and len(t) >= 3:
-                        bare = t.strip("|!$")
-                        for form in {t, bare}:
-                            if len(form) >= 3 and sum(ch.isalpha() for ch in form) >= max(2, len(form) - 3):
+                        for form in {t, t.strip("|!$")}:
+                            if len(form) >= 3 and likely(form):
                                 out.append((source, doc, id_, i, form, tokens[n - 1][0] if n else None, tokens[n + 1][0] if n + 1 < len(tokens) else None, b.folds.get(i)))
             if out:
                 yield pd.DataFrame(out, columns=["source_table", "doc_stem", "id", "line", "token", "before", "after", "fold"])
