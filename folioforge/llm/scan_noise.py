@@ -24,7 +24,7 @@ from folioforge.runtime import cut, table
 
 #: Known words a worker holds; they cover nearly all tokens, and the others are looked up by a join.
 KNOWN_WORDS = 100_000
-#: Cells of the table of bigram counts (4 MB).
+#: Cells of the table of bigram counts (4 MB), for pairs with a word that competes for a misread form.
 BIGRAM_CELLS = 1 << 20
 #: A word is taken for a misread other word if that one is so many times as frequent (less if it holds a sign no word has).
 RATIO, RATIO_ODD = 8, 2
@@ -191,52 +191,53 @@ COUNT_ROW = "kind string, source_table string, doc_stem string, id string, line
 
 
 def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First pass: word counts, bigram counts, candidate lines, page numbers and broken words of every block."""
+    """First pass: word counts, candidate lines, page numbers and broken words of every block."""
     words: Counter = Counter()
-    pairs: Counter = Counter()
 
     def flush():
         rows = [("word", w, n) for w, n in words.items() if likely(w)]
-        cells: Counter = Counter()
-        for (a, b), n in pairs.items():
-            cells[zlib.crc32(f"{a} {b}".encode()) % BIGRAM_CELLS] += n
-        rows += [("pair", str(c), n) for c, n in cells.items()]
         words.clear()
-        pairs.clear()
         out = pd.DataFrame(rows, columns=["kind", "key", "n"])
         return out.assign(source_table=None, doc_stem=None, id=None, line=None, label_votes=None, breaks_in=None, numbered=None)[COLUMNS]
 
     for frame in batches:
         found = []
         for source, doc, id_, page, label, text in zip(frame["source_table"], frame["doc_stem"], frame["id"], frame["page"], frame["label"], frame["text"]):
-            if len(text) > 120 and "\n" not in text and "\r" not in text and "<" not in text and not text.lstrip().startswith("|"):
-                # one long line: no line of it can be furniture and no word is cut
-                tokens = _TOKEN.findall(text.casefold())
-                words.update(tokens)
-                pairs.update(zip(tokens, tokens[1:]))
+            if "\n" not in text and "\r" not in text:
+                if not is_table(text):
+                    words.update(_TOKEN.findall(text.casefold()))
+                    if len(text) <= 120:
+                        found += single_line(source, doc, id_, None if page != page else int(page), label, text)
                 continue
-            page = None if pd.isna(page) else int(page)
-            b = Block(text, page, label)
+            b = Block(text, None if page != page else int(page), label)
             if b.table:
                 continue
             furniture = label in ("header", "footer")
             for i, k in enumerate(b.kind):
                 if k == "num":
                     found.append(("num", source, doc, id_, i, None, 1, 0, 0, True))
-                elif k == "run" and (b.whole or i in b.numbered or b.interrupts(i) or len(b.lines) > 1):
+                elif k == "run":
                     found.append(("line", source, doc, id_, i, b.folds[i], 1, int(b.whole and furniture), -int(label in TITLES) if b.whole else int(b.interrupts(i)), i in b.numbered))
             if not b.whole:
                 found += [("broken", source, doc, id_, i, None, 1, 0, 0, False) for i, _ in b.breaks()]
-            tokens = _TOKEN.findall(glued(text).casefold())
-            words.update(tokens)
-            pairs.update(zip(tokens, tokens[1:]))
+            words.update(_TOKEN.findall(glued(text).casefold()))
         if found:
             yield pd.DataFrame(found, columns=COLUMNS)
-        if len(words) + len(pairs) > COUNTED:
+        if len(words) > COUNTED:
             yield flush()
     yield flush()
 
 
+def single_line(source, doc, id_, page, label, text) -> list[tuple]:
+    """What a block of one line could be: a page number, or a candidate for a running line."""
+    if page_number(text, page, label, False):
+        return [("num", source, doc, id_, 0, None, 1, 0, 0, True)]
+    rest, number = split_number(text, page)
+    if not may_run(rest):
+        return []
+    return [("line", source, doc, id_, 0, fold_line(rest), 1, int(label in ("header", "footer")), -int(label in TITLES), number)]
+
+
 COLUMNS = ["kind", "source_table", "doc_stem", "id", "line", "key", "n", "label_votes", "breaks_in", "numbered"]
 
 
@@ -310,18 +311,30 @@ def likely(token: str) -> bool:
     return token.isalpha() or (not token.isdigit() and sum(map(str.isalpha, token)) >= max(2, len(token) - 3))
 
 
-SUSPECT = "source_table string, doc_stem string, id string, line int, token string, before string, after string, fold string"
+SUSPECT = "source_table string, doc_stem string, id string, line int, token string, before string, after string, fold string, n bigint"
+SUSPECTED = ["source_table", "doc_stem", "id", "line", "token", "before", "after", "fold", "n"]
+
 
+def suspects_of(known: frozenset, several: frozenset = frozenset()):
+    """several: words that share a misread form with others; their neighbours are counted (rows with n, cells as line)."""
 
-def suspects_of(known: frozenset):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Second pass: tokens that are no known words, with their neighbours."""
+        fine, pairs = set(known), Counter()
         for frame in batches:
             out = []
             for source, doc, id_, page, label, text in zip(frame["source_table"], frame["doc_stem"], frame["id"], frame["page"], frame["label"], frame["text"]):
                 tokens_ = _TOKEN.findall(glued(text).casefold())
+                if not several.isdisjoint(tokens_) and not is_table(text):
+                    pairs.update(p for p in zip(tokens_, tokens_[1:]) if p[0] in several or p[1] in several)
+                odd = not fine.issuperset(tokens_)
+                if odd:
+                    strange = [t for t in tokens_ if t not in fine]
+                    if len(fine) < 4 * COUNTED:
+                        fine.update(t for t in strange if not likely(t))
+                    odd = any(map(likely, strange))
                 # a word cut by furniture between its halves is joined below only
-                if not _CUT.search(text) and (known.issuperset(tokens_) or not any(t not in known and likely(t) for t in tokens_)):
+                if not odd and not _CUT.search(text):
                     continue
                 b = Block(text, None if pd.isna(page) else int(page), label)
                 if b.table:
@@ -354,11 +367,25 @@ def suspects_of(known: frozenset):
                             if len(form) >= 3 and likely(form):
                                 out.append((source, doc, id_, i, form, tokens[n - 1][0] if n else None, tokens[n + 1][0] if n + 1 < len(tokens) else None, b.folds.get(i)))
             if out:
-                yield pd.DataFrame(out, columns=["source_table", "doc_stem", "id", "line", "token", "before", "after", "fold"])
+                yield pd.DataFrame(out, columns=SUSPECTED[:-1]).assign(n=pd.Series([pd.NA] * len(out), dtype="Int64"))
+            if len(pairs) > COUNTED:
+                yield cells(pairs)
+                pairs.clear()
+        yield cells(pairs)
+
+    def cells(pairs: Counter) -> pd.DataFrame:
+        counts: Counter = Counter()
+        for (a, b), n in pairs.items():
+            counts[cell_of(a, b)] += n
+        return pd.DataFrame({"line": list(counts), "n": list(counts.values())}).reindex(columns=SUSPECTED).astype({"line": "Int32", "n": "Int64", **{c: object for c in SUSPECTED if c not in ("line", "n")}})
 
     return find
 
 
+def cell_of(a: str, b: str) -> int:
+    return zlib.crc32(f"{a} {b}".encode()) % BIGRAM_CELLS
+
+
 def running_lines(lines: DataFrame) -> DataFrame:
     """Folded running lines of the corpus: lines labelled head or foot at least as often as they are titles, or lines in
     title case that interrupted sentences at least twice and at least as often as they stood elsewhere in a text."""
@@ -391,15 +418,18 @@ def scan_findings(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     repairs = cut(repair_table(words), "repairs")
     top = words.join(repairs.select(F.col("seen").alias("word")).distinct(), "word", "left_anti").orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
     known = spark.sparkContext.broadcast(frozenset(r[0] for r in top.select("word").collect()))
-    cells = first.where("kind = 'pair'").groupBy(F.col("key").cast("int").alias("cell")).agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(BIGRAM_CELLS, dtype=np.int32)
-    counts[cells["cell"].to_numpy(dtype=np.int64)] = np.minimum(cells["n"].to_numpy(dtype=np.int64), 2**31 - 1)
-    context = spark.sparkContext.broadcast(counts)
+    several = repairs.groupBy("seen").agg(F.count(F.lit(1)).alias("c")).where("c > 1").join(repairs, "seen").groupBy("real").agg(F.max("real_n").alias("n"))
+    choice = spark.sparkContext.broadcast(frozenset(r[0] for r in several.orderBy(F.desc("n"), "real").limit(KNOWN_WORDS).select("real").collect()))
 
     def find(batches):
-        yield from suspects_of(known.value)(batches)
+        yield from suspects_of(known.value, choice.value)(batches)
 
-    suspects = blocks.mapInPandas(find, SUSPECT)
+    second = cut(blocks.mapInPandas(find, SUSPECT), "suspects")
+    suspects = second.where("n is null").drop("n")
+    cells = second.where("n is not null").groupBy(F.col("line").alias("cell")).agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(BIGRAM_CELLS, dtype=np.int32)
+    counts[cells["cell"].to_numpy(dtype=np.int64)] = np.minimum(cells["n"].to_numpy(dtype=np.int64), 2**31 - 1)
+    context = spark.sparkContext.broadcast(counts)
     lines = first.where("kind = 'line'")
     running = cut(running_lines(lines), "running")
     confirmed = lines.join(running, "key")
@@ -407,7 +437,7 @@ def scan_findings(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     @F.pandas_udf("double")
     def bigrams(before: pd.Series, word: pd.Series, after: pd.Series) -> pd.Series:
         table_ = context.value
-        score = lambda a, b: int(table_[zlib.crc32(f"{a} {b}".encode()) % BIGRAM_CELLS]) if a and b else 0
+        score = lambda a, b: int(table_[cell_of(a, b)]) if a and b else 0
         return pd.Series([float(score(a, w) + score(w, b)) for a, w, b in zip(before, word, after)], dtype="float64")
 
     best = Window.partitionBy("source_table", "doc_stem", "id", "line", "token").orderBy("cost", F.desc(bigrams("before", "real", "after")), F.desc("real_n"), "real")
