@@ -24,6 +24,8 @@ from folioforge.runtime import table
 TRAINING_ITEMS = 12_000
 EPOCHS = 4
 SEED = 11
+#: Learning rate of the weights of neighbouring tags; small, so that the length of sentences seen decides ties only.
+STEP_RATE = 0.1
 MEMO = 300_000
 
 # Signs that end sentences, signs that open and close quotations and brackets.
@@ -215,7 +217,7 @@ class Model:
                                 sums[f] += clock * (g - t)
                     for k in range(1, len(gold)):
                         gap = spots[k][0] - spots[k - 1][0]
-                        for pair, by in (((gold[k - 1], gold[k]), 1), ((tags[k - 1], tags[k]), -1)):
+                        for pair, by in (((gold[k - 1], gold[k]), STEP_RATE), ((tags[k - 1], tags[k]), -STEP_RATE)):
                             key = self.step(*pair, gap)
                             self.steps[key] = self.steps.get(key, 0.0) + by
                             step_sums[key] += clock * by
@@ -346,7 +348,8 @@ def list_items(documents: DataFrame) -> DataFrame:
                         item = " ".join(text[skip:b].split())
                         if 8 <= len(item) <= 400:
                             found.add(item)
-            yield pd.DataFrame({"item": sorted(found)})
+            if found:
+                yield pd.DataFrame({"item": sorted(found)})
 
     return documents.where("text is not null").select("text").mapInPandas(find, "item string").distinct()
 
