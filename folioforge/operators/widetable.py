@@ -65,6 +65,8 @@ def wide_table(spark: SparkSession, attributes: DataFrame, defs_df: DataFrame) -
     highest attr_id; deliveries of the same row are the same version. Extra columns are ignored. Empty tables give no rows.
     """
     defs = definitions(defs_df)
+    if not defs.kinds:  # no attributes, no columns and no cells
+        return attributes.select("doc_stem", "entity").where(F.lit(False))
     rows = read_attributes(spark, attributes.select("attr_id", "doc_stem", "entity", "key", "value", "unit", "extracted_at", "ingested_at"), defs)
     entity, version = ["doc_stem", "entity"], ["extracted_at", "attr_id"]
     runs = deltas(rows, defs, entity, F.date_trunc("month", "ingested_at"), version)
@@ -79,5 +81,5 @@ def filled_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_stem, entity, attr_name) of the cells of the wide table that hold a value."""
     wide = attribute_wide(spark, sf_dir)
     names = [c for c in wide.columns if c not in ("doc_stem", "entity")]
-    filled = F.filter(F.array(*[F.when(F.col(f"`{n}`").isNotNull(), F.lit(n)) for n in names]), lambda x: x.isNotNull())
+    filled = F.filter(F.array(*[F.when(F.col(f"`{n}`").isNotNull(), F.lit(n)) for n in names]).cast("array<string>"), lambda x: x.isNotNull())
     return wide.select("doc_stem", "entity", F.explode(filled).alias("attr_name"))

@@ -2,7 +2,7 @@ import __spark_entry__ as entry
 
 
 def test_names_match():
-    assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) >= 60
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) >= 50
 
 
 def test_flagship(spark):

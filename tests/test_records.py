@@ -82,6 +82,7 @@ def test_wide_table_takes_the_latest_version(spark):
     assert set(out) == {"X", "Y"}
     assert out["X"]["length"] == 20.0 and out["X"]["rohs"] is True and out["X"]["finish"] is None and out["Y"]["pack_qty"] == 12
     assert widetable.wide_table(spark, spark.createDataFrame([], SCHEMA), defs).count() == 0
+    assert widetable.wide_table(spark, spark.createDataFrame(data, SCHEMA), spark.createDataFrame([], DEF_SCHEMA)).count() == 0
 
 
 def test_agreeing_pairs_against_brute_force(spark):
