@@ -79,6 +79,10 @@ def fold_line(line: str) -> str:
     return " ".join("".join(ch if ch.isalnum() else " " for ch in text).split())
 
 
+def whole(page) -> int | None:
+    return None if page is None or page != page else int(page)
+
+
 def is_table(text: str) -> bool:
     low = text[:4000].casefold()
     return "<table" in low or "<td" in low or (text.count("|") >= 4 and text.lstrip().startswith("|"))
@@ -207,9 +211,9 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if not is_table(text):
                     words.update(_TOKEN.findall(text.casefold()))
                     if len(text) <= 120:
-                        found += single_line(source, doc, id_, None if page != page else int(page), label, text)
+                        found += single_line(source, doc, id_, whole(page), label, text)
                 continue
-            b = Block(text, None if page != page else int(page), label)
+            b = Block(text, whole(page), label)
             if b.table:
                 continue
             furniture = label in ("header", "footer")
@@ -336,7 +340,7 @@ def suspects_of(known: frozenset, several: frozenset = frozenset()):
                 # a word cut by furniture between its halves is joined below only
                 if not odd and not _CUT.search(text):
                     continue
-                b = Block(text, None if pd.isna(page) else int(page), label)
+                b = Block(text, whole(page), label)
                 if b.table:
                     continue
                 goes_on = dict(b.breaks())
@@ -468,7 +472,7 @@ def noisy_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rebuild(text: str, page, label, drop: list[int], tokens: list[str], reals: list[str], known=None) -> str:
     """The text without dropped lines, broken words joined, misread words replaced, lines of a paragraph joined."""
-    b = Block(text, None if pd.isna(page) else int(page), label)
+    b = Block(text, whole(page), label)
     if b.table:
         return text
     gone = set(drop)
