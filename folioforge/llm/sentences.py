@@ -45,6 +45,7 @@ _PLACE = re.compile(rf"([{re.escape(ENDS)}]+)((?:[{SPACE}]*[{re.escape(CLOSERS)}
 _BLANK = re.compile(rf"(?<=[{BLANK_ENDED}\d.)\]”\"])[{SPACE}]+(?=[{BLANK_ENDED}\dA-Za-z(\[“\"])")
 _HAS_BLANK_ENDED = re.compile(f"[{BLANK_ENDED}]")
 _WORD = re.compile(r"\S+$")
+_CAMEL = re.compile(r"[^\W\d_A-Z]{1,3}[A-Z]")
 _NEXT = re.compile(r"[^\W\d_]+|\d+|\S")
 
 
@@ -116,7 +117,7 @@ def places(text: str, skip: int = 0) -> list[tuple[int, tuple]]:
         w = _WORD.search(text, max(0, m.start() - 24), m.start())
         x = _NEXT.match(after, gap)
         sep = "0" if not gap else "n" if _LINE.search(after[:gap]) else "1" if gap == 1 else "2"
-        out.append((end, (m[1][-1] if len(m[1]) == 1 else m[1][:3], text[m.end(1) : end].replace(" ", ""), depth, sep, char_class(n), (w[0] if w else "").casefold()[-14:], (x[0] if x else "").casefold()[:8], before)))
+        out.append((end, (m[1][-1] if len(m[1]) == 1 else m[1][:3], text[m.end(1) : end].replace(" ", ""), depth, sep, "U" if _CAMEL.match(after, gap) else char_class(n), (w[0] if w else "").casefold()[-14:], (x[0] if x else "").casefold()[:8], before)))
     if blank_ended:
         for m in _BLANK.finditer(text, skip):
             around = text[max(0, m.start() - 6) : m.start()] + text[m.end() : m.end() + 6]
@@ -154,7 +155,7 @@ def features(d: tuple) -> list[str]:
 PRIOR = {
     **{f"s|{s}|o": 1.5 for s in "。！？．｡।॥؟۔!?"}, "s|.|o": 0.5, "s|…|o": -0.5, "s|...|o": -0.5, **{f"s|{s}|q": -4.0 for s in ENDS}, "b|o": -1.0, "b|q": -3.0,
     "n|.|U|o": 1.5, "n|.|L|o": -4.0, "n|!|L|o": -3.0, "n|?|L|o": -3.0, "n|.|P|o": -2.0, "n|!|P|o": -1.0, "n|?|P|o": -1.0, "n|.|D|o": -0.5, "n|.|O|o": 1.0, "n|…|L|o": -2.0, "n|...|L|o": -2.0,
-    "k|.|1|U": -2.0, "k|.|1|D": -2.0, "h|.|p|U": -1.0, "h|.|d|L": -2.0, "h|.|d|U": -0.5, "cx|」|と|o": -5.0, "cq|」|o": 1.0, "cx|”|字|o": -3.0,
+    "k|.|1|U": -2.0, "k|.|1|D": -2.0, "h|.|p|U": -1.0, "h|.|d|L": -2.0, "h|.|d|U": -0.5, "cx|」|と|o": -6.0, "cq|」|o": 2.5, "c|。|”|H": 2.0, "c|！|”|H": 2.0, "cx|”|字|o": -6.0,
 }
 
 
@@ -244,6 +245,8 @@ def strung(items: list[str], seed: int = SEED) -> list[tuple[list, list[int]]]:
             for at in range(0, len(members), 5):
                 text, ends = "", set()
                 for item in members[at : at + 5]:
+                    # lines of running text are wrapped anywhere
+                    item = "".join("\n" if ch == " " and rng.random() < 0.12 else ch for ch in item)
                     if text:
                         if kind == "solid":
                             text += rng.choice(["", "", "", " ", "\n"])
