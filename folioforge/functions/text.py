@@ -77,10 +77,13 @@ def null_word(c: str | Column, words: tuple[str, ...] = NULL_WORDS) -> Column:
 
 def number(c: str | Column) -> Column:
     """A decimal without group signs, or a fraction; null if it is neither or its denominator is 0."""
-    text = F.regexp_replace(col(c), "[, ]", "")
-    low = F.regexp_extract(text, r"^\d+/(\d+)$", 1).try_cast("double")
-    high = F.regexp_extract(text, r"^(\d+)/\d+$", 1).try_cast("double")
-    return F.when(text.rlike(r"^\d+/\d+$"), F.when(low != 0, high / low)).when(text.rlike(r"^[+-]?\d+(\.\d+)?$"), text.try_cast("double"))
+
+    def read(text: Column) -> Column:
+        low = F.regexp_extract(text, r"^\d+/(\d+)$", 1).try_cast("double")
+        high = F.regexp_extract(text, r"^(\d+)/\d+$", 1).try_cast("double")
+        return F.when(text.rlike(r"^[+-]?\d+(\.\d+)?$"), text.try_cast("double")).when(text.contains("/"), F.when(low != 0, high / low))
+
+    return let(F.regexp_replace(col(c), "[, ]", ""), read)
 
 
 def unit_alias(c: str | Column) -> Column:
@@ -91,17 +94,19 @@ def unit_alias(c: str | Column) -> Column:
 def value_unit(c: str | Column) -> Column:
     """struct<value double, unit string, raw string> of a measurement in text, else null: a fraction with a unit, a whole
     text of number and unit, or a number run together with its unit, in this order."""
-    raw = strip(c)
     ways = (
-        (r"^(\d+/\d+)\s*([a-zA-Z\"'°]+)\s*$", 1, 2),
-        (r"^\s*([+-]?\d{1,3}(?:[,\s]\d{3})*(?:\.\d+)?|\d+(?:\.\d+)?)\s*([^\d\s][^\n]*?)\s*$", 1, 2),
-        (r"^((?:\d+/\d+|\d+(?:\.\d+)?))\s*([a-zA-Z\"'°]+)$", 1, 2),
+        r"^(\d+/\d+)\s*([a-zA-Z\"'°]+)\s*$",
+        r"^\s*([+-]?\d{1,3}(?:[,\s]\d{3})*(?:\.\d+)?|\d+(?:\.\d+)?)\s*([^\d\s][^\n]*?)\s*$",
+        r"^((?:\d+/\d+|\d+(?:\.\d+)?))\s*([a-zA-Z\"'°]+)$",
     )
-    found = []
-    for pattern, n, u in ways:
-        value, unit = number(F.regexp_extract(raw, pattern, n)), unit_alias(F.regexp_extract(raw, pattern, u))
-        found.append(F.when(value.isNotNull() & unit.isNotNull(), F.struct(value.alias("value"), unit.alias("unit"), raw.alias("raw"))))
-    return F.coalesce(*found)
+
+    def way(raw: Column, pattern: str) -> Column:
+        amount = number(F.regexp_extract(raw, pattern, 1))
+        stated = lambda unit: let(amount, lambda v: F.when(v.isNotNull(), F.struct(v.alias("value"), unit.alias("unit"), raw.alias("raw"))))
+        return let(unit_alias(F.regexp_extract(raw, pattern, 2)), lambda unit: F.when(unit.isNotNull(), stated(unit)))
+
+    # texts without a digit are no measurements; most texts end here
+    return F.when(col(c).rlike(r"\d"), let(strip(c), lambda raw: F.coalesce(*[way(raw, p) for p in ways])))
 
 
 def stable_id(prefix: str, *parts: str | Column) -> Column:
