@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.runtime import table
+from folioforge.runtime import cut, table
 
 #: Bound of the training sample: list items with the smallest hashes, of punctuated and of unpunctuated scripts each.
 TRAINING_ITEMS = 12_000
@@ -44,6 +45,8 @@ _VALUE = re.compile(rf"[{SPACE}]*(?:[≤≥<>~±+\-−]?[{SPACE}]*[\d.,]*\d|\S+(
 _PLACE = re.compile(rf"([{re.escape(ENDS)}]+)((?:[{SPACE}]*[{re.escape(CLOSERS)}])*)")
 _BLANK = re.compile(rf"(?<=[{BLANK_ENDED}\d.)\]”\"])[{SPACE}]+(?=[{BLANK_ENDED}\dA-Za-z(\[“\"])")
 _HAS_BLANK_ENDED = re.compile(f"[{BLANK_ENDED}]")
+_OPENER = re.compile("[" + re.escape("".join(PAIRS)) + "]")
+_GAP = re.compile(f"[{SPACE}]*")
 _WORD = re.compile(r"\S+$")
 _CAMEL = re.compile(r"[^\W\d_A-Z]{1,3}[A-Z]")
 _NEXT = re.compile(r"[^\W\d_]+|\d+|\S")
@@ -90,8 +93,10 @@ def places(text: str, skip: int = 0) -> list[tuple[int, tuple]]:
 
     The description holds sign, closers, depth of quotation, gap, class of what follows, the word before, what follows."""
     blank_ended = bool(_HAS_BLANK_ENDED.search(text))
-    marks = any(ch in PAIRS for ch in text)
+    marks = _OPENER.search(text)
     spans = quote_spans(text) if marks else ()
+    opened, closed = sorted(a for a, _ in spans), sorted(b for _, b in spans)
+    shuts = frozenset(closed)
     out = []
     for m in _PLACE.finditer(text, skip):
         end = m.end()
@@ -100,30 +105,29 @@ def places(text: str, skip: int = 0) -> list[tuple[int, tuple]]:
             inner, shut = m.end(1), m.end(1)
             for i in range(inner, end):
                 if text[i] in CLOSERS:
-                    if any(b == i for _, b in spans):
+                    if i in shuts:
                         shut = i + 1
                     else:
                         break
             end = shut
-        after = text[end:]
-        if not after.strip():
+        on = _GAP.match(text, end).end()
+        if on == len(text):
             continue
-        gap = len(after) - len(after.lstrip())
-        n = after[gap] if gap < len(after) else ""
+        gap, n = on - end, text[on]
         before = text[m.start() - 1] if m.start() else ""
         if not gap and end == m.end(1) and m[1][-1] == "." and len(m[1]) == 1 and not (before.islower() and (n.isupper() or n in PAIRS)):
             continue
-        depth = sum(a < m.start() and b >= end for a, b in spans)
+        depth = max(0, bisect_left(opened, m.start()) - bisect_left(closed, end))
         w = _WORD.search(text, max(0, m.start() - 24), m.start())
-        x = _NEXT.match(after, gap)
-        sep = "0" if not gap else "n" if _LINE.search(after[:gap]) else "1" if gap == 1 else "2"
-        out.append((end, (m[1][-1] if len(m[1]) == 1 else m[1][:3], text[m.end(1) : end].replace(" ", ""), depth, sep, "U" if _CAMEL.match(after, gap) else char_class(n), (w[0] if w else "").casefold()[-14:], (x[0] if x else "").casefold()[:8], before)))
+        x = _NEXT.match(text, on)
+        sep = "0" if not gap else "n" if _LINE.search(text, end, on) else "1" if gap == 1 else "2"
+        out.append((end, (m[1][-1] if len(m[1]) == 1 else m[1][:3], text[m.end(1) : end].replace(" ", ""), depth, sep, "U" if _CAMEL.match(text, on) else char_class(n), (w[0] if w else "").casefold()[-14:], (x[0] if x else "").casefold()[:8], before)))
     if blank_ended:
         for m in _BLANK.finditer(text, skip):
             around = text[max(0, m.start() - 6) : m.start()] + text[m.end() : m.end() + 6]
             if not _HAS_BLANK_ENDED.search(around) or not text[skip : m.start()].strip("0123456789. "):
                 continue
-            depth = sum(a < m.start() and b >= m.end() for a, b in spans)
+            depth = max(0, bisect_left(opened, m.start()) - bisect_left(closed, m.end()))
             out.append((m.start(), (" ", "", depth, "n" if _LINE.search(m[0]) else "1", char_class(text[m.end()]), text[max(0, m.start() - 5) : m.start()], text[m.end() : m.end() + 5], text[m.start() - 1])))
         best: dict[int, tuple] = {}
         for end, d in out:
@@ -359,7 +363,7 @@ def list_items(documents: DataFrame) -> DataFrame:
 
 def trained_model(documents: DataFrame) -> Model:
     """Fits the model to a sample of TRAINING_ITEMS items of each kind of script, the same for the same documents."""
-    items = list_items(documents).withColumn("blank_ended", F.col("item").rlike(f"[{BLANK_ENDED}]")).withColumn("h", F.xxhash64("item"))
+    items = cut(list_items(documents), "items").withColumn("blank_ended", F.col("item").rlike(f"[{BLANK_ENDED}]")).withColumn("h", F.xxhash64("item"))
     # two bounded samples in one pass: punctuated items, and items of scripts without sentence punctuation
     sample = items.where("not blank_ended").orderBy("h", "item").limit(TRAINING_ITEMS).unionByName(items.where("blank_ended").orderBy("h", "item").limit(TRAINING_ITEMS))
     return Model().train(strung([r[0] for r in sample.select("item", "h").orderBy("h", "item").select("item").collect()]))
