@@ -124,6 +124,8 @@ _LEVEL = f"""case when t like '#%' then length(regexp_extract(t, '^#+'))
   when l = 'paragraph_title' and lower(t) in {_in(layout.DETAIL_TITLES)} then 3
   when l in {_in(layout.TOP_LEVEL)} then 1 when l in {_in(layout.SECOND_LEVEL)} then 2
   when t <> '' and len(string_split_regex(t, '\\s+')) <= 6 and length(t) <= 60 then 2 else 3 end"""
+_KIND = f"""case when l in {_in(layout.HEADINGS)} then 'heading' when l in {_in(layout.TABLES)} then 'table' when l in {_in(layout.FIGURES)} then 'figure' when l in {_in(layout.PRODUCTS)} then 'product_card'
+  when l in {_in(layout.SPECIFICATIONS)} then 'specification' when t like '#%' then 'heading' when t <> '' and {_SCORE} >= 3 then 'product_card' when {_SPEC} then 'specification' else 'paragraph' end"""
 _PLACE = "printf('%06d.%06d.', coalesce(page, 0), coalesce(block_order, 0)) || id"
 _SECTIONS = ",\n".join(f"max(case when type = 'heading' and lv = {n} then {_PLACE} end) over w h{n}" for n in range(1, 7))
 _OPEN = ", ".join(
@@ -145,8 +147,9 @@ def oracle_sql():
     return {
         "q07_page_blocks": f"with {PAGES}, x as (select doc_stem, page_index + 1 page, unnest(parsing_res_list) b, generate_subscripts(parsing_res_list, 1) - 1 pos from pages) select doc_stem, printf('p%d_b%03d', page, pos) id, page, pos, b.block_label as label, length(b.block_content) chars, array_to_string(b.block_bbox, ',') corners from x",
         "q08_block_type": f"""with {BLOCKS}, {_TYPED} select doc_stem, id, {_SCORE} card_score,
-  case when l in {_in(layout.HEADINGS)} then 'heading' when l in {_in(layout.TABLES)} then 'table' when l in {_in(layout.FIGURES)} then 'figure' when l in {_in(layout.PRODUCTS)} then 'product_card'
-  when l in {_in(layout.SPECIFICATIONS)} then 'specification' when t like '#%' then 'heading' when t <> '' and {_SCORE} >= 3 then 'product_card' when {_SPEC} then 'specification' else 'paragraph' end semantic_type from typed""",
+  {_KIND} semantic_type from typed""",
+        "q57_typed_blocks": f"""with {PAGES}, blocks as (select b.block_label source_type, b.block_content text from (select unnest(parsing_res_list) b from pages)), {_TYPED}, k as (select l, t, {_KIND} as "type" from typed)
+  select "type", case when "type" = 'heading' then {_LEVEL} end as "level", count(*) n from k group by 1, 2""",
         "q09_heading_level": f"with {BLOCKS}, {_TYPED} select doc_stem, id, {_LEVEL} as level, coalesce(nullif(trim(regexp_replace(string_split(t, chr(10))[1], '^#+', '')), ''), type || '-' || block_order) as name from typed where type = 'heading'",
         "q10_reading_order": f"with {BLOCKS} select doc_stem, id, row_number() over (partition by doc_stem, page order by block_order nulls first, coalesce(bbox[2], 1e9), coalesce(bbox[1], 1e9), id) place from blocks",
         "q11_section_path": f"""with {BLOCKS}, {_TYPED}, lev as (select *, least(case when heading_level > 0 then heading_level else {_LEVEL} end, 6) lv from typed),
