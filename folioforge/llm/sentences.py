@@ -57,7 +57,7 @@ def char_class(ch: str) -> str:
         return "E"
     if ch.isdigit():
         return "D"
-    if ch.isupper():
+    if ch.isupper() or ch in "¡¿":
         return "U"
     if ch.islower():
         return "L"
@@ -157,9 +157,9 @@ def features(d: tuple) -> list[str]:
 
 # Weights before training, so that little data still gives sensible units.
 PRIOR = {
-    **{f"s|{s}|o": 1.5 for s in "。！？．｡।॥؟۔!?"}, "s|.|o": 0.5, "s|…|o": -0.5, "s|...|o": -0.5, **{f"s|{s}|q": -4.0 for s in ENDS}, "b|o": -1.0, "b|q": -3.0,
+    **{f"s|{s}|o": 1.5 for s in "。！？．｡।॥؟۔!?"}, "s|.|o": 0.5, "s|…|o": -0.5, "s|...|o": -0.5, "s|……|o": -1.5, **{f"s|{s}|q": -4.0 for s in ENDS}, "b|o": -1.0, "b|q": -3.0,
     "n|.|U|o": 1.5, "n|.|L|o": -4.0, "n|!|L|o": -3.0, "n|?|L|o": -3.0, "n|.|P|o": -2.0, "n|!|P|o": -1.0, "n|?|P|o": -1.0, "n|.|D|o": -0.5, "n|.|O|o": 1.0, "n|…|L|o": -2.0, "n|...|L|o": -2.0,
-    "k|.|1|U": -2.0, "k|.|1|D": -2.0, "h|.|p|U": -1.0, "h|.|d|L": -2.0, "h|.|d|U": -0.5, "cx|」|と|o": -6.0, "cq|」|o": 2.5, "c|。|”|H": 2.0, "c|！|”|H": 2.0, "cx|”|字|o": -6.0,
+    "k|.|1|U": -2.0, "k|.|1|D": -2.0, "h|.|p|U": -1.0, "h|.|d|L": -2.0, "h|.|d|U": -0.5, "z|。|」|と": -6.0, "cq|」|o": 2.5, "c|。|”|H": 2.0, "c|！|”|H": 2.0, "z|。|”|字": -6.0,
 }
 
 
