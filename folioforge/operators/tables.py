@@ -168,13 +168,13 @@ def header_rows(grid: list[dict[int, str]], heads: int) -> list[int]:
     return sorted(found)
 
 
-def html_rows(text: str | None) -> list[tuple[list[str], list[str]]]:
-    """(headers, cells) of the distinct rows of the first HTML table; headers are col_0, col_1 ... where none are printed."""
+def html_table(text: str | None) -> tuple[bool, list[str], list[list[str]]]:
+    """Whether the first HTML table prints headers, its column names (col_0, col_1 ... without) and its distinct rows."""
     if not text or "<table" not in text.lower():
-        return []
+        return False, [], []
     grid, heads = html_grid(text)
     if not grid:
-        return []
+        return False, [], []
     top = header_rows(grid, heads)
     width = max(max(row, default=-1) for row in grid) + 1
     keys: list[str] = []
@@ -183,7 +183,43 @@ def html_rows(text: str | None) -> list[tuple[list[str], list[str]]]:
         name = " / ".join(parts) or f"col_{k}"
         keys.append(f"{name} [{k + 1}]" if name in keys else name)
     rows = [tuple(row.get(k, "") for k in range(width)) for i, row in enumerate(grid) if i not in top and any(row.values())]
-    return [(keys, list(r)) for r in dict.fromkeys(rows)]
+    return bool(top), keys, [list(r) for r in dict.fromkeys(rows)]
+
+
+def html_rows(text: str | None) -> list[tuple[list[str], list[str]]]:
+    """(headers, cells) of the distinct rows of the first HTML table; headers are col_0, col_1 ... where none are printed."""
+    _, keys, rows = html_table(text)
+    return [(keys, r) for r in rows]
+
+
+def html_outside(text: str) -> tuple[int, int]:
+    """Where the first HTML table of a text begins and ends."""
+    depth = 0
+    first = re.search(r"(?i)<table\b", text)
+    for m in re.finditer(r"(?i)<(/?)table\b[^>]*>?", text):
+        depth += -1 if m[1] else 1
+        if m[1] and depth == 0:
+            return first.start(), m.end()
+    return (first.start() if first else 0), len(text)
+
+
+_is_rule = re.compile(r"\s*\|?[\s\-:]+(\|[\s\-:]+)*\|?\s*").fullmatch
+
+
+def markdown_table(text: str) -> tuple[list[str], list[list[str]], int, int]:
+    """Headers, rows and place in the text of its first pipe table. Rows are padded to the headers; a row with more cells
+    keeps them, so it can be longer than the headers."""
+    found, at = [], 0
+    for line in text.splitlines(keepends=True):
+        if "|" in line:
+            found.append((at, at + len(line), line.splitlines()[0]))
+        elif found and line.strip():
+            break
+        at += len(line)
+    data = [x.strip().removeprefix("|").removesuffix("|") for _, _, x in found if not _is_rule(x)]
+    cells = [[v.strip() for v in x.split("|")] for x in data]
+    rows = [c + [""] * (len(cells[0]) - len(c)) for c in cells[1:] if any(c)]
+    return (cells[0], rows, found[0][0], found[-1][1]) if rows else ([], [], 0, 0)
 
 
 TABLE_ROW = "doc_stem string, id string, method string, row_no int, headers array<string>, cells array<string>"

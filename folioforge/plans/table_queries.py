@@ -8,6 +8,7 @@ from folioforge.functions import text as tx
 from folioforge.operators import evidence, replies, tables
 from folioforge.plans.common import BLOCKS, blocks, once, sql_lines
 from folioforge.plans.record_queries import P, R, products, runs
+from folioforge.runtime import table
 
 #: Codes as they stand in table rows of the catalogs.
 ROW_CODE = "[a-z]{3}[0-9]{5}[a-z]"
@@ -37,8 +38,9 @@ def q_pack(spark, sf_dir):
 
 
 def q_requests(spark, sf_dir):
-    r = _records(spark, sf_dir)
-    return evidence.requests(r, evidence.pack(r)).select("request_id", "doc_stem", "continuation", "parts", tx.prompt_size("context")["tokens"].alias("tokens"))
+    """Requests with the evidence of all block types; q31_greedy_pack packs paragraphs by length, as its SQL states."""
+    packs = evidence.packed_evidence(evidence.evidence_records(table(spark, sf_dir, "semantic_blocks")))
+    return evidence.requests(packs).select("request_id", "doc_stem", "continuation", "parts", tx.prompt_size("context")["tokens"].alias("tokens"))
 
 
 def _tables(spark, sf_dir):
