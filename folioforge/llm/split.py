@@ -33,17 +33,16 @@ _MARK = re.compile(r"[̀-ͯัิ-ฺ็-๎ऺ-ॏً-ٟ‍️\U0001f3fb-\U0001f
 
 
 def cut_point(text: str, start: int, end: int, size: int) -> int:
-    """The strongest boundary near the middle of text[start:end], so near that the recursion makes few pieces; without
-    any, a place near the middle that tears no character apart."""
+    """The strongest boundary within size // 4 of the middle of text[start:end], or farther where no piece more comes of
+    it; without any, a place near the middle that tears no character apart. A half left above the size is cut again."""
     length = end - start
     middle = start + length // 2
     # the smallest number of pieces leaves slack: a cut may move by it without making a piece more
-    pieces = -(-length // size)
+    pieces, reach = -(-length // size), size // 4
     if pieces > 2:
-        reach = size // 4
         middle = start + (pieces // 2) * length // pieces
     else:
-        reach = max(min(size - length // 2, length // 2) - 1, 0)
+        reach = max(reach, min(size - length // 2, length // 2) - 1)
     low, high = max(start + 1, middle - reach), min(end - 1, middle + reach)
     for pattern in BOUNDARIES:
         best = None

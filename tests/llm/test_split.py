@@ -39,3 +39,14 @@ def test_blocks(spark):
     assert {r["id"] for r in out} == {"a", "b", "n"} and sorted(r["part_id"] for r in out if r["id"] in "ab") == ["c1__part1", "c1__part2", "c1__part3", "c1__part4"]
     assert all(r["part_id"] is None and r["pieces"] == 2 for r in out if r["id"] == "n")
     assert S.oversized_pieces(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize("length", [5480, 5590, 5599, 5600])
+def test_boundaries_count_when_two_pieces_just_fit(length):
+    at = length // 2 - 600
+    text = "a" * (at - 2) + "\n\n" + "word " * ((length - at) // 5)
+    text += "b" * (length - len(text))
+    spans = S.bisect(text)
+    assert spans[0] == (0, at) and len(spans) == 3 and all(e - s <= S.LIMIT for s, e in spans)
+    # without any boundary there is no piece more
+    assert len(S.bisect("x" * length)) == 2
