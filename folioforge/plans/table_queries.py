@@ -80,6 +80,12 @@ def q_row_codes(spark, sf_dir):
     return _code_rows(spark, sf_dir).select("product_id", F.array_join(tables.row_codes("headers", "cells"), ",").alias("codes"), F.array_join(tables.spilled_codes("headers", "cells"), ",").alias("spilled"))
 
 
+def q_table_row_codes(spark, sf_dir):
+    """Codes of the rows of all table blocks; q34_row_codes has rows made for its SQL."""
+    rows = tables.table_rows(blocks(spark, sf_dir).where("type = 'table'"))
+    return rows.select("doc_stem", "id", "method", F.col("row_no").cast("bigint").alias("row_no"), F.array_join(tables.row_codes("headers", "cells"), ",").alias("codes"), F.array_join(tables.spilled_codes("headers", "cells"), ",").alias("spilled"))
+
+
 def q_code_amounts(spark, sf_dir):
     b = blocks(spark, sf_dir).where("text like '%$%'").select("doc_stem", "id", F.explode(tables.code_amounts("text", ROW_CODE, sign=r"\$ ")).alias("x"))
     return b.select("doc_stem", "id", "x.code", "x.amount")
@@ -94,6 +100,7 @@ def queries():
     return {
         "q29_evidence_windows": q_windows, "q30_paragraph_budget": q_budget, "q31_greedy_pack": q_pack, "q32_table_continuation": q_continuation, "q33_markdown_table": q_markdown,
         "q34_row_codes": q_row_codes, "q35_inline_pairs": q_code_amounts, "q42_response_parse": q_replies, "q45_html_table_rows": q_html, "q51_requests": q_requests, "q52_table_methods": q_table_methods,
+        "q53_table_row_codes": q_table_row_codes,
     }
 
 
