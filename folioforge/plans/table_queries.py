@@ -96,11 +96,17 @@ def q_replies(spark, sf_dir):
     return r.select("run_id", replies.reply_state("raw_response").alias("state"), replies.reply_count("raw_response", "products").alias("products"), replies.reply_count("raw_response", "attributes").alias("attributes"))
 
 
+def _reply_records(member):
+    """Records of one kind in the replies of all runs; a reply that only counts its members has none."""
+    return lambda spark, sf_dir: replies.reply_records(runs(spark, sf_dir))[member]
+
+
 def queries():
     return {
         "q29_evidence_windows": q_windows, "q30_paragraph_budget": q_budget, "q31_greedy_pack": q_pack, "q32_table_continuation": q_continuation, "q33_markdown_table": q_markdown,
         "q34_row_codes": q_row_codes, "q35_inline_pairs": q_code_amounts, "q42_response_parse": q_replies, "q45_html_table_rows": q_html, "q51_requests": q_requests, "q52_table_methods": q_table_methods,
         "q53_table_row_codes": q_table_row_codes,
+        "q54_reply_products": _reply_records("products"), "q55_reply_attributes": _reply_records("attributes"), "q56_reply_relations": _reply_records("relations"),
     }
 
 
