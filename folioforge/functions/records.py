@@ -6,6 +6,7 @@ small parser. It runs as an Arrow-batched Pandas UDF with bounded memo tables; a
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from dataclasses import dataclass, field
@@ -20,6 +21,12 @@ from folioforge.functions.units import spelling_table, unit_of
 
 #: Most rows attribute_defs may have to be taken to the driver; it is a register, not data.
 MAX_DEFS = 10_000
+#: Largest and smallest whole number an integer column holds.
+BIGINT_MAX, BIGINT_MIN = (1 << 63) - 1, -(1 << 63)
+#: Exponents beyond this many digits are out of the range of a double whatever stands before them.
+EXPONENT_DIGITS = 6
+#: Keys a worker remembers, and the longest of them.
+KEYS_HELD, KEY_LENGTH = 200_000, 256
 
 # Texts that stand for a missing value.
 PLACEHOLDERS = frozenset(
@@ -114,6 +121,7 @@ class Definitions:
     dense: dict = field(default_factory=dict)
     looks: dict = field(default_factory=dict)
     cut_once: dict = field(default_factory=dict)
+    longest: int = 0
 
     def __post_init__(self):
         for attr, quantity, unit, kind, known in self.rows:
@@ -123,6 +131,7 @@ class Definitions:
             for name in [attr, *(known or [])]:
                 if name and (c := clean_key(name)):
                     self.names.setdefault(c, attr)
+                    self.longest = max(self.longest, len(c))
         for name, attr in self.names.items():
             self.dense.setdefault(without_joints(name), set()).add(attr)
             if len(name) > 3:
@@ -139,7 +148,8 @@ class Definitions:
         same = self.dense.get(without_joints(name), ())
         if len(same) == 1:
             return next(iter(same))
-        if len(name) < 4:
+        # lookalikes shorten a name to its half at most, so a longer one is near to none
+        if len(name) < 4 or len(name) > 2 * self.longest + 1:
             return None
         close = set().union(*(self.cut_once.get(piece, ()) for piece in cuts(name)))
         hits = {self.names[k] for k in close if near(name, k, 1)} | self.looks.get(look(name), set())
@@ -152,7 +162,7 @@ class Definitions:
         if key in self.keys:
             return self.keys[key]
         found = self._meaning(key)
-        if len(self.keys) < 200_000:
+        if len(self.keys) < KEYS_HELD and len(key) <= KEY_LENGTH:
             self.keys[key] = found
         return found
 
@@ -197,23 +207,45 @@ def plain_number(text: str) -> float | None:
             return None
         text = text.replace(".", "")
     try:
-        return float(text)
+        return finite(float(text))
     except ValueError:
         return None
 
 
+def finite(value: float | None) -> float | None:
+    return value if value is not None and math.isfinite(value) else None
+
+
+def ratio(above: str, below: str) -> float | None:
+    """A fraction of two digit strings of any length; none if a part or the result is beyond a double."""
+    a, b = float(above), float(below)
+    return finite(a / b) if b and math.isfinite(a) and math.isfinite(b) else None
+
+
+def raised(value: float, power: str) -> float | None:
+    """value times ten to the power; zero stays zero, and what is too large for a double is no number."""
+    power = power.replace("−", "-")
+    sign, digits = ("-" if power.startswith("-") else ""), power.lstrip("+-").lstrip("0") or "0"
+    if value == 0 or len(digits) > EXPONENT_DIGITS:
+        return 0.0 if value == 0 or sign else None
+    n = int(sign + digits)
+    if abs(n) < 300:
+        return finite(value * 10.0**n)
+    digits, _, own = f"{value:.17e}".partition("e")
+    return finite(float(f"{digits}e{int(own) + n}"))
+
+
 def number_of(m: re.Match) -> float | None:
+    """The number of a match, of any length; none if it is beyond the range of a double."""
     if m["whole"]:
-        low = int(m["d1"])
-        value = int(m["whole"]) + int(m["n1"]) / low if low else None
+        part, whole = ratio(m["n1"], m["d1"]), float(m["whole"])
+        value = finite(whole + part) if part is not None else None
     elif m["n2"]:
-        low = int(m["d2"])
-        value = int(m["n2"]) / low if low else None
+        value = ratio(m["n2"], m["d2"])
     else:
         value = plain_number(m["dec"])
         if value is not None and (e := m["exp"] or m["exp2"]):
-            power = int(e.replace("−", "-"))
-            value = value * 10.0**power if abs(power) < 300 else None
+            value = raised(value, e)
     if value is None:
         return None
     return -value if m["sign"] in ("-", "−") else value
@@ -247,12 +279,12 @@ def measured(value: str | None, unit: str | None, key_unit: str | None, quantity
     without other words, in the unit of the unit column or of the key."""
     if value is None:
         return None
-    if m := _SIMPLE.match(value):
+    if (m := _SIMPLE.match(value)) and (n := finite(float(m[1]))) is not None:
         if not m[2]:
             found = unit_of(quantity, unit) or key_unit
-            return (float(m[1]), found) if found else None
+            return (n, found) if found else None
         if found := unit_of(quantity, m[2]):
-            return float(m[1]), found
+            return n, found
     text = tidy_value(value)
     if text.casefold() in PLACEHOLDERS:
         return None
@@ -298,14 +330,19 @@ def price_of(value: str) -> float | None:
         return None
     n = m["n"]
     if re.fullmatch(r"\d+\.\d+", n):
-        return float(n)
+        return finite(float(n))
     return plain_number(n)
 
 
 def whole_number(value: str) -> int | None:
+    """A whole number of any length up to the range of bigint; a larger one fits no integer column and is none."""
     text = tidy_value(value)
     m = re.fullmatch(r"([+]?(?:\d{1,3}(?:[, ']\d{3})+|\d+))(?:\.0+)?(?:\s*(?:ports?|pcs?\.?|pieces?|pc|ea\.?|each|units?|x|st\.?|off|per pack|/ ?pack|packs?|holes?|outlets?|ways?))?", text, re.I)
-    return int(re.sub(r"[, '+]", "", m[1])) if m else None
+    if not m:
+        return None
+    digits = re.sub(r"[, '+]", "", m[1]).lstrip("0") or "0"
+    n = int(digits) if len(digits) <= len(str(BIGINT_MAX)) else BIGINT_MAX + 1
+    return n if n <= BIGINT_MAX else None
 
 
 def yes_no(value: str) -> bool | None:
@@ -314,25 +351,25 @@ def yes_no(value: str) -> bool | None:
 
 
 def read_record(defs: Definitions, key, value, unit):
-    """(attr_name, number, unit, text, flag): number in unit where the attribute is measured; attr_name is null if the key means none."""
+    """(attr_name, number, unit, text, flag, whole): number in unit where the attribute is measured; attr_name is null if
+    the key means none. Whole numbers travel as such, so none is rounded."""
     attr, key_unit = defs.meaning(key)
     if attr is None:
-        return None, None, None, None, None
+        return None, None, None, None, None, None
     quantity, common, kind = defs.kinds[attr]
     if kind == "number" and quantity and common:
         got = measured(value, unit, key_unit, quantity)
-        return (attr, *got, None, None) if got else (attr, None, None, None, None)
+        return (attr, *got, None, None, None) if got else (attr, None, None, None, None, None)
     if value is None or tidy_value(value).casefold() in PLACEHOLDERS:
         # a plain "1", "0", "x" or "-" is decided by the kind; placeholders are none of any kind
-        return attr, None, None, None, None
+        return attr, None, None, None, None, None
     if kind == "number":
-        return attr, price_of(value), None, None, None
+        return attr, price_of(value), None, None, None, None
     if kind == "integer":
-        n = whole_number(value)
-        return attr, None if n is None or n >= 1 << 53 else float(n), None, None, None
+        return attr, None, None, None, None, whole_number(value)
     if kind == "boolean":
-        return attr, None, None, None, yes_no(value)
-    return attr, None, None, tidy_value(value), None
+        return attr, None, None, None, yes_no(value), None
+    return attr, None, None, tidy_value(value), None, None
 
 
 READING = T.StructType(
@@ -342,6 +379,7 @@ READING = T.StructType(
         T.StructField("unit", T.StringType()),
         T.StructField("text", T.StringType()),
         T.StructField("flag", T.BooleanType()),
+        T.StructField("whole", T.LongType()),
     ]
 )
 
@@ -367,7 +405,9 @@ def reading(defs: Definitions, key: Column, value: Column, unit: Column) -> Colu
             if got is None:
                 got = memo[triple] = read_record(shared, *triple)
             out.append(got)
-        frame = pd.DataFrame(out, columns=READING.names)
-        return frame.astype({"number": "float64"}).astype({"flag": object})
+        columns = list(zip(*out)) or [()] * len(READING.names)
+        frame = pd.DataFrame({name: pd.Series(c, dtype=object) for name, c in zip(READING.names, columns)})
+        # whole numbers never pass through a double
+        return frame.astype({"number": "float64", "whole": "Int64"})
 
     return read(key, value, unit)

@@ -157,6 +157,12 @@ def common_unit(quantity: str, text: str) -> str | None:
     return unit_of(quantity, text)
 
 
+@lru_cache(maxsize=None)
+def registered_conversions() -> tuple[tuple[str, str, str, float, float, int], ...]:
+    """conversion_rows of the register above, composed and checked once."""
+    return tuple(conversion_rows())
+
+
 def conversion_rows(edges_by_quantity=None) -> list[tuple[str, str, str, float, float, int]]:
     """(quantity, source unit, target unit, scale, offset, hops) for all pairs; raises on contradicting cycles."""
     rows = []
@@ -183,4 +189,4 @@ CONVERSION_SCHEMA = T.StructType(
 
 def conversion_table(spark: SparkSession) -> DataFrame:
     """The compositions as a table; its size is that of the unit register above, whatever the data."""
-    return spark.createDataFrame(conversion_rows(), CONVERSION_SCHEMA).coalesce(1)
+    return spark.createDataFrame(registered_conversions(), CONVERSION_SCHEMA).coalesce(1)

@@ -9,9 +9,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Largest side that an operator broadcasts by hand, in bytes. Larger sides are shuffled.
-BROADCAST_LIMIT_BYTES = 8 << 20
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,10 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A folder all executors see: below spark.checkpoint.dir, or, where that is unset (tests), a local one.
 
-    Tables written here replace cached blocks, so a lost executor costs no more than the tasks it ran.
+    Tables written here replace cached blocks, so a lost executor costs no more than the tasks it ran. Executors of a
+    cluster share no local folder, so there the setting is needed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors of {master}")
         made = getattr(shared_folder, "made", None)
         if made is None:
             made = shared_folder.made = tempfile.mkdtemp(prefix="folioforge-")
@@ -31,12 +32,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/folioforge"
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name in the shared folder, deleted at exit."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    atexit.register(drop_path, spark, path)
+    return path
+
+
 def cut(df: DataFrame, label: str = "step") -> DataFrame:
     """Writes df into the shared folder and reads it back: lineage ends here and shuffle files can go."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    atexit.register(drop_path, spark, path)
     back = spark.read.schema(df.schema).parquet(path)
     back._folioforge_path = path
     return back
@@ -49,6 +56,14 @@ def release(df: DataFrame | None) -> None:
         drop_path(df.sparkSession, path)
 
 
+def list_paths(spark: SparkSession, path: str) -> list[str]:
+    """Folders and files right below a folder, or the file itself; none if it is not there."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    return sorted(str(s.getPath().toString()) for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     try:
         sc = spark.sparkContext

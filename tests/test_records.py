@@ -1,6 +1,9 @@
 import datetime as dt
+import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from folioforge.functions import units as U
 from folioforge.functions.records import Definitions, price_of, read_record, whole_number
@@ -94,3 +97,67 @@ def test_agreeing_pairs_against_brute_force(spark):
     got = {tuple(r) for r in unitjoin.agreeing_pairs(frame, ["doc_stem", "entity", "attr_name"]).collect()}
     want = {(a[0], b[0]) for a in amounts for b in amounts if a[0] < b[0] and a[2] is not None and a[2] == b[2] and a[4] != b[4] and abs(a[5] - b[5]) <= 0.005 * (1 + 1e-9) * max(abs(a[5]), abs(b[5]))}
     assert got == want
+
+
+HUGE = ["9" * 5000, "9" * 400 + " mm", "1/" + "9" * 400, "9" * 310 + "/7 mm", "1e400 mm", "3 x 10^999999999 mm", "0e99999999 mm", "1e-999 mm", "9" * 300 + "." + "9" * 300 + " km", "1.7e308 km", "Infinity mm", "NaN", "1" * 200_000, "(" * 50_000, "7 " * 50_000]
+
+
+def test_no_record_stops_the_queries(spark):
+    t = dt.datetime(2024, 1, 1)
+    keys = ["length", "price", "pack quantity", "finish", "rohs", "wavelength in " + "x" * 100_000, "l" * 300_000, "length (" * 20_000]
+    data = [(n * 100 + k, "d", f"e{n}", key, value, "mm", t, t, None) for n, value in enumerate(HUGE) for k, key in enumerate(keys)]
+    frame, defs = spark.createDataFrame(data, SCHEMA), spark.createDataFrame(DEFS, DEF_SCHEMA)
+    rows = {r["entity"]: r for r in widetable.wide_table(spark, frame, defs).collect()}
+    assert rows["e0"]["length"] is None and rows["e0"]["pack_qty"] is None and rows["e6"]["length"] == 0.0 and rows["e7"]["length"] == 0.0
+    assert rows["e9"]["length"] is None and rows["e10"]["length"] is None and rows["e14"]["finish"].startswith("7 7 ")
+    amounts = unitjoin.measured_attributes(spark, frame, defs)
+    assert all(math.isfinite(r["amount"]) for r in amounts.collect())
+    odd = spark.createDataFrame([(1, "g", "mm", float("inf")), (2, "g", "cm", float("inf")), (3, "g", "m", float("nan")), (4, "g", "m", None), (5, "g", "m", 5e-324), (6, "g", "cm", 5e-324), (7, "g", "m", 1.7e308), (8, "g", "km", 1.7e308)], "attr_id long, g string, unit string, amount double")
+    assert {tuple(r) for r in unitjoin.agreeing_pairs(odd, ["g"]).collect()} == {(5, 6), (7, 8)}
+
+
+@pytest.mark.parametrize("text, want", [("9007199254740993", 2**53 + 1), ("9,223,372,036,854,775,807", 2**63 - 1), ("9223372036854775808", None), ("9" * 5000, None), ("0" * 40 + "12 pcs", 12), ("250.000", 250)])
+def test_whole_numbers_are_exact_up_to_bigint(text, want):
+    assert whole_number(text) == want and read_record(D, "pack quantity", text, None)[5] == want
+
+
+@given(st.text(alphabet="0123456789.,/-+eEx^ ×10mmincNaN½", max_size=400), st.sampled_from(["length", "price", "pack quantity", "wavelength"]))
+@settings(max_examples=300, deadline=None)
+def test_any_text_gives_a_finite_number_or_none(value, key):
+    got = read_record(D, key, value, "mm")
+    assert got[1] is None or math.isfinite(got[1])
+    assert got[5] is None or -(2**63) <= got[5] < 2**63
+
+
+def test_whole_numbers_keep_all_digits_in_the_table(spark):
+    t = dt.datetime(2024, 1, 1)
+    data = [(1, "d", "a", "pack quantity", "9007199254740993", None, t, t, None), (2, "d", "b", "pack quantity", None, None, t, t, None)]
+    out = widetable.wide_table(spark, spark.createDataFrame(data, SCHEMA), spark.createDataFrame(DEFS, DEF_SCHEMA)).collect()
+    assert [(r["entity"], r["pack_qty"]) for r in out] == [("a", 2**53 + 1)]
+
+
+def test_store_takes_late_and_repeated_batches(spark, tmp_path):
+    day = lambda n: dt.datetime(2024, 1, n)
+    row = lambda i, value, said, came: (i, "d", "e", "length", value, "mm", day(said), day(came), None)
+    batches = [[row(1, "5", 3, 3)], [row(2, "7", 5, 6)], [row(3, "6", 4, 9)], [row(2, "7", 5, 6)], []]
+    store = widetable.CellStore(spark, str(tmp_path / "cells"), D)
+    assert store.wide().count() == 0 and store.compact() is None
+    seen = []
+    for n, batch in enumerate(batches):
+        store.apply(spark.createDataFrame(batch, SCHEMA))
+        if n == 2:
+            store.compact()
+            assert len(store.runs()) == 1
+        seen.append([r["length"] for r in store.wide().collect()])
+    assert seen == [[5.0], [7.0], [7.0], [7.0], [7.0]]
+    # a compaction that ended before it deleted its runs
+    store.write(widetable.compact(store.read(store.runs()), D, widetable.ENTITY))
+    assert [r["length"] for r in store.wide().collect()] == [7.0]
+    whole = widetable.wide_table(spark, spark.createDataFrame([r for b in batches for r in b], SCHEMA), spark.createDataFrame(DEFS, DEF_SCHEMA))
+    assert [r.asDict() for r in whole.collect()] == [r.asDict() for r in store.wide().collect()]
+
+
+def test_repeated_values_of_one_unit_meet_no_one(spark):
+    rows = [(n, "g", "mm", 10.0) for n in range(3000)] + [(5000, "g", "cm", 10.04), (5001, "g", "cm", 10.2), (5002, "h", "cm", 10.0)]
+    pairs = unitjoin.agreeing_pairs(spark.createDataFrame(rows, "attr_id long, g string, unit string, amount double"), ["g"])
+    assert pairs.count() == 3000 and {r[1] for r in pairs.collect()} == {5000}
