@@ -9,6 +9,7 @@ def queries():
     return {
         "p1_found": references.orphan_records,
         "p1_by_month": references.orphan_counts,
+        "p1_proofs": references.orphan_proofs,
         "p4_found": hierarchy.block_cycles,
         "p4_hierarchy": hierarchy.block_hierarchy,
         "p5_found": widetable.filled_cells,

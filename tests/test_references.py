@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from folioforge.operators import references as R
 
 REFS = "target string, scope string, ref_key string, t timestamp_ntz, record_id long, extra string"
@@ -42,8 +44,13 @@ def test_borders_and_empty_tables(spark):
     assert run(spark, [], [("p", "a", "k", day(5), None, 0)]) == set()
 
 
-def test_a_full_filter_still_gives_exact_results(spark, monkeypatch):
-    monkeypatch.setattr(R, "filter_bits", lambda rows: 64)
-    refs = [("p", "a", f"k{i}", day(1), i, None) for i in range(200)]
-    parents = [("p", "a", f"k{i}", day(0), None, 0) for i in range(0, 200, 2)]
-    assert run(spark, refs, parents) == set(range(1, 200, 2))
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 26])
+def test_buckets_prove_as_much_as_one_filter(spark, monkeypatch, bits):
+    monkeypatch.setattr(R, "MAX_FILTER_BITS", bits)
+    monkeypatch.setattr(R, "BUCKET_BITS", 1 << 12)
+    monkeypatch.setattr(R, "BUCKET_ROWS", 100)
+    refs = [("p", "a", f"k{i}", day(1), i, None) for i in range(4000)] + [("p", "a", "gone", day(1), 10_000 + i, None) for i in range(2000)] + [("p", None, "k0", day(1), 20_000, None)]
+    parents = [("p", "a", f"k{i}", day(0), None, 0) for i in range(0, 4000, 2)] * 2
+    out = R.find_orphans(spark.createDataFrame(refs, REFS), spark.createDataFrame(parents, PARENTS)).collect()
+    assert sorted(r["record_id"] for r in out) == [*range(1, 4000, 2), *range(10_000, 12_000), 20_000]
+    assert sum(r["proved"] for r in out) > 0.95 * len(out) and {r["extra"] for r in out} == {None}
