@@ -1,12 +1,13 @@
 """Parent-child links to full hierarchies, with cycles found.
 
 Blocks are worked on in slices of a document (PAGES x ORDERS blocks at most), so a document of any size is spread over
-tasks and no task holds more than its partitions' slices. Inside a slice the steps below run to their end at once; only
-links between slices need rounds, whose number grows with the logarithm of the slices that a chain passes through
-(peeling: with the slices themselves).
+tasks, and a task streams its slices and holds few of them at a time. Inside a slice the steps below run to their end at
+once; only links between slices need rounds, whose number grows with the logarithm of the slices that a chain passes
+through (with the slices themselves only in documents whose records contradict each other about a block's parent).
 
 1. Peeling: nodes without a remaining child, or without a remaining parent, go until nothing changes. What stays lies on
-   cycles or between them; strongly connected components tell which.
+   cycles, between them, or on chains that pass through several slices. Where blocks have one parent, chains are
+   contracted inside their slices and followed by doubled steps; strongly connected components tell the rest.
 2. Euler tours: each node is entered and left once; a successor list runs through each tree. Chains inside a slice are
    contracted, the rest is ranked by pointer jumping. Ranks counted from the end give entry and exit, depth and root.
 3. Paths: inside a slice from the parents, beyond it by pointer doubling on the slice's outer parents.
@@ -129,54 +130,201 @@ def components(child: np.ndarray, parent: np.ndarray, n: int) -> list[list[int]]
     return found
 
 
-def _gather(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
-    parts = [b for b in batches if len(b)]
-    return pd.concat(parts, ignore_index=True) if parts else None
+#: Rows of whole slices that are worked on at a time.
+AT_ONCE = 100_000
 
 
-CYCLE_STEP = "doc_stem string, child string, parent string, child_slice string, parent_slice string, cycle_id string"
+def in_slices(batches: Iterator[pd.DataFrame], *key: str) -> Iterator[pd.DataFrame]:
+    """Rows sorted by key as frames of whole groups, of AT_ONCE rows or the size of one group if that is larger."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        if sum(map(len, held)) >= AT_ONCE:
+            same = (batch[list(key)] == batch[list(key)].iloc[0]).all(axis=1)
+            if not (held[-1][list(key)].iloc[-1] == batch[list(key)].iloc[0]).all():
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            elif not same.all():
+                yield pd.concat([*held, batch[same]], ignore_index=True)
+                held, batch = [], batch[~same]
+        held.append(batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def by_slice(df: DataFrame, slice_: str) -> DataFrame:
+    return df.repartition("doc_stem", slice_).sortWithinPartitions("doc_stem", slice_)
+
+
+def weak_components(child: np.ndarray, parent: np.ndarray, n: int) -> np.ndarray:
+    """A label for each node, the same for linked ones: least labels spread along links and jump to their own label, so
+    long chains take a logarithmic number of passes."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[child], label[parent])
+        new = label.copy()
+        for side in (child, parent):
+            np.minimum.at(new, label[side], low)
+            np.minimum.at(new, side, low)
+        while True:
+            jumped = new[new]
+            if (jumped == new).all():
+                break
+            new = jumped
+        if (new == label).all():
+            return label
+        label = new
 
 
-def cycles_in_slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Peels all slices of the partition; gives members of closed cycles (with cycle_id) and the links still open."""
-    frame = _gather(batches)
-    if frame is None:
-        return
+def coded(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Links of slices as numbers: child, parent, the names behind them, and which nodes lie in the slice they are seen from."""
     here = frame["at"]
     names = pd.concat((frame["doc_stem"] + "\x1f" + frame["child"] + "\x1f" + here, frame["doc_stem"] + "\x1f" + frame["parent"] + "\x1f" + here), ignore_index=True)
     codes, labels = pd.factorize(names)
     child, parent = codes[: len(frame)], codes[len(frame) :]
-    n = len(labels)
-    mine = np.zeros(n, dtype=bool)
+    mine = np.zeros(len(labels), dtype=bool)
     mine[child[(frame["child_slice"] == here).to_numpy()]] = True
     mine[parent[(frame["parent_slice"] == here).to_numpy()]] = True
-    left = peel(child, parent, n, mine)
-    frame, child, parent = frame[left], child[left], parent[left]
-    if frame.empty:
-        return
-    # weak components that touch another slice stay open; the others are closed here
-    touched = ~mine
+    return child, parent, labels, mine
+
+
+CYCLE_STEP = "doc_stem string, child string, parent string, child_slice string, parent_slice string, cycle_id string"
+
+
+def cycles_in_slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Peels slices; gives members of closed cycles (with cycle_id) and the links still open."""
+    for frame in in_slices(batches, "doc_stem", "at"):
+        child, parent, labels, mine = coded(frame)
+        n = len(labels)
+        left = peel(child, parent, n, mine)
+        frame, child, parent = frame[left], child[left], parent[left]
+        if frame.empty:
+            continue
+        # weak components that touch another slice stay open; the others are closed here
+        label = weak_components(child, parent, n)
+        touched = np.zeros(n, dtype=bool)
+        touched[label[~mine]] = True
+        closed = ~touched[label[child]]
+        out = []
+        if closed.any():
+            for group in components(child[closed], parent[closed], n):
+                members = [labels[v].split("\x1f") for v in group]
+                first = min(m[1] for m in members)
+                out += [(m[0], m[1], first) for m in members]
+        if out:
+            cycles = pd.DataFrame(out, columns=["doc_stem", "child", "cycle_id"])
+            yield cycles.assign(parent=None, child_slice=None, parent_slice=None)[["doc_stem", "child", "parent", "child_slice", "parent_slice", "cycle_id"]]
+        rest = frame[~closed]
+        if len(rest):
+            yield rest[["doc_stem", "child", "parent", "child_slice", "parent_slice"]].assign(cycle_id=None)
+
+
+PIECE = "doc_stem string, id string, ptr string, least string, members array<string>"
+
+
+def _followed(frame: pd.DataFrame) -> tuple[list[str], dict[int, int], list[int], list[str | None]]:
+    """Names, parent by child, entries (blocks with a child in another slice) and the slice of each child's parent if it is
+    another one; every block has one parent here."""
+    child, parent, labels, mine = coded(frame)
+    other = (frame["parent_slice"] != frame["at"]).to_numpy()
+    outside = (frame["child_slice"] != frame["at"]).to_numpy()
+    up = dict(zip(child[~outside].tolist(), parent[~outside].tolist()))
+    leaves = set(child[~outside & other].tolist())
+    return labels, up, sorted(set(parent[outside].tolist())), leaves
+
+
+def contracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each block a chain enters a slice by: the block of another slice it goes on to, or null if it ends or goes round
+    in here, and the least id on the way. Cycles inside the slice come out as members."""
+    for frame in in_slices(batches, "doc_stem", "at"):
+        labels, up, entries, leaves = _followed(frame)
+        name = lambda v: labels[v].split("\x1f")
+        ends: dict[int, tuple[int | None, str | None]] = {}  # block -> (where its chain leaves the slice, least id on the way)
+        rows = []
+        for start in [*entries, *up]:
+            trail, seen, v = [], {}, start
+            while v in up and v not in ends and v not in seen:
+                seen[v] = len(trail)
+                trail.append(v)
+                if v in leaves:
+                    break
+                v = up[v]
+            if trail and trail[-1] in leaves and trail[-1] not in ends:
+                last = trail.pop()
+                ends[last] = (up[last], name(last)[1])
+                v = last
+            elif v in seen and v not in ends:  # a cycle of this slice
+                ring = trail[seen[v] :]
+                doc, first = name(v)[0], min(name(w)[1] for w in ring)
+                rows.append((doc, None, None, first, [name(w)[1] for w in ring]))
+                ends.update((w, (None, None)) for w in ring)
+                trail = trail[: seen[v]]
+            elif v not in ends:
+                ends[v] = (None, None)
+            target, least = ends[v]
+            for w in reversed(trail):
+                least = None if target is None else min(least, name(w)[1])
+                ends[w] = (target, least)
+        for e in entries:
+            target, least = ends.get(e, (None, None))
+            doc, id_, _ = name(e)
+            rows.append((doc, id_, name(target)[1] if target is not None else None, least, None))
+        if rows:
+            yield pd.DataFrame(rows, columns=["doc_stem", "id", "ptr", "least", "members"])
+
+
+MEMBER = "doc_stem string, id string, cycle_id string"
+
+
+def ways_through(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Members of cycles through several slices: the way from each entry on a cycle (rows with colour) out of the slice."""
+    for frame in in_slices(batches, "doc_stem", "at"):
+        links, marks = frame[frame["colour"].isna()], frame[frame["colour"].notna()]
+        if marks.empty:
+            continue
+        up = dict(zip(zip(links["doc_stem"], links["child"], links["at"]), links["parent"]))
+        own = set(zip(links["doc_stem"], links["child"], links["at"], links["child_slice"]))
+        rows = set()
+        for doc, id_, at, colour in zip(marks["doc_stem"], marks["child"], marks["at"], marks["colour"]):
+            while (doc, id_, at, at) in own and (doc, id_, colour) not in rows:
+                rows.add((doc, id_, colour))
+                id_ = up[doc, id_, at]
+        if rows:
+            yield pd.DataFrame(sorted(rows), columns=["doc_stem", "id", "cycle_id"])
+
+
+def seen_from(edges: DataFrame) -> DataFrame:
+    """Each link once for the slice of each of its ends."""
+    return edges.withColumn("at", F.explode(F.array_distinct(F.array("child_slice", "parent_slice"))))
+
+
+def chained_cycles(edges: DataFrame) -> DataFrame:
+    """Cycles among open links of documents in which every block has one parent: (doc_stem, id, cycle_id).
+
+    Chains are contracted to the blocks by which they enter slices. Steps over these are doubled until the blocks they end
+    on, which are those on cycles, become no fewer and the least ids on the way no less."""
+    both = cut(seen_from(edges), "both")
+    step = cut(by_slice(both, "at").mapInPandas(contracted, PIECE), "entries")
+    inner = step.where("members is not null").select("doc_stem", F.explode("members").alias("id"), F.col("least").alias("cycle_id"))
+    state = step.where("id is not null and ptr is not null").select("doc_stem", "id", "ptr", F.col("least").alias("colour"))
+    state, before = cut(state.withColumn("moved", F.lit(True)), "doubled"), None
     while True:
-        pull = touched[child] | touched[parent]
-        grown = touched.copy()
-        grown[child[pull]] = True
-        grown[parent[pull]] = True
-        if (grown == touched).all():
+        on = state.select("doc_stem", F.col("ptr").alias("id")).distinct().count()
+        if on == 0 or (on == before and state.where("moved").isEmpty()):
             break
-        touched = grown
-    closed = ~touched[child]
-    out = []
-    if closed.any():
-        for group in components(child[closed], parent[closed], n):
-            members = [labels[v].split("\x1f") for v in group]
-            first = min(m[1] for m in members)
-            out += [(m[0], m[1], first) for m in members]
-    if out:
-        cycles = pd.DataFrame(out, columns=["doc_stem", "child", "cycle_id"])
-        yield cycles.assign(parent=None, child_slice=None, parent_slice=None)[["doc_stem", "child", "parent", "child_slice", "parent_slice", "cycle_id"]]
-    rest = frame[~closed]
-    if len(rest):
-        yield rest[["doc_stem", "child", "parent", "child_slice", "parent_slice"]].assign(cycle_id=None)
+        before = on
+        far = state.select("doc_stem", F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("colour").alias("colour2"))
+        # a chain that ends is on no cycle
+        new = state.drop("moved").join(far, ["doc_stem", "ptr"]).select("doc_stem", "id", F.col("ptr2").alias("ptr"), F.least("colour", "colour2").alias("colour"), (F.col("colour2") < F.col("colour")).alias("moved"))
+        new = cut(new, "doubled")
+        release(state)
+        state = new
+    ring = state.join(state.select("doc_stem", F.col("ptr").alias("id")).distinct(), NODE, "left_semi").select("doc_stem", F.col("id").alias("child"), "colour")
+    at = edges.where("child_slice <> parent_slice").select("doc_stem", F.col("parent").alias("child"), F.col("parent_slice").alias("at")).distinct()
+    marks = ring.join(at, ["doc_stem", "child"]).select("doc_stem", "child", F.lit(None).cast("string").alias("parent"), F.col("at").alias("child_slice"), "at", "colour")
+    links = both.select("doc_stem", "child", "parent", "child_slice", "at", F.lit(None).cast("string").alias("colour"))
+    return inner.unionByName(by_slice(links.unionByName(marks), "at").mapInPandas(ways_through, MEMBER))
 
 
 def spanning_cycles(edges: DataFrame) -> DataFrame:
@@ -246,14 +394,18 @@ def find_cycles(links: DataFrame) -> DataFrame:
     share blocks, of all cycles linked that way. Blocks that hang below a cycle are not on it. No links give no rows."""
     edges, done, before = links.select("doc_stem", "child", "parent", "child_slice", "parent_slice"), [], None
     while True:
-        both = edges.withColumn("at", F.explode(F.array_distinct(F.array("child_slice", "parent_slice"))))
-        step = cut(both.repartition("doc_stem", "at").mapInPandas(cycles_in_slices, CYCLE_STEP), "peel")
+        step = cut(by_slice(seen_from(edges), "at").mapInPandas(cycles_in_slices, CYCLE_STEP), "peel")
         done.append(step.where("cycle_id is not null").select("doc_stem", F.col("child").alias("id"), "cycle_id"))
         open_ = step.where("cycle_id is null").drop("cycle_id")
         inner = open_.where("child_slice = parent_slice")
         # a link between slices is left only if both of them left it
         outer = open_.where("child_slice <> parent_slice").groupBy(*open_.columns).count().where("count = 2").drop("count")
         edges = inner.unionByName(outer)
+        if before is None and not edges.isEmpty():
+            edges = cut(edges, "open")
+            several = cut(edges.groupBy("doc_stem", "child").count().where("count > 1").select("doc_stem").distinct(), "several")
+            done.append(chained_cycles(edges.join(several, "doc_stem", "left_anti")))
+            edges = edges.join(several, "doc_stem", "left_semi")
         left = edges.count()
         if left == 0:
             break
@@ -281,9 +433,11 @@ def tours_in_slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     Elements 2i and 2i+1 enter and leave node i. Rows with a node tell its place in two local chains; rows with a chain
     tell that chain's successor, length and sum of depth changes, needed only where lists pass through several slices.
     """
-    f = _gather(batches)
-    if f is None:
-        return
+    for frame in in_slices(batches, "doc_stem", "slice"):
+        yield from tours_of(frame)
+
+
+def tours_of(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
     n = len(f)
     names = (f["doc_stem"] + "\x1f" + f["id"]).to_numpy(dtype=object)
     place = {(name, s): i for i, (name, s) in enumerate(zip(names, f["slice"]))}
@@ -451,7 +605,7 @@ def hierarchy(blocks: DataFrame) -> DataFrame:
     links = cut(block_links(blocks, nodes), "links")
     cycles = cut(find_cycles(links), "cycles")
     lists = tour_lists(nodes, links, cycles)
-    segments = cut(lists.repartition("doc_stem", "slice").mapInPandas(tours_in_slices, SEGMENT), "segments")
+    segments = cut(by_slice(lists, "slice").mapInPandas(tours_in_slices, SEGMENT), "segments")
     places, chains = segments.where("id is not null"), segments.where("chain is not null")
     ranks = rank_chains(chains)
     at_enter = ranks.select(F.col("chain").alias("enter_head"), F.col("rest").alias("r1"), F.col("dsum").alias("d1"), "root")
@@ -474,6 +628,33 @@ def hierarchy(blocks: DataFrame) -> DataFrame:
     )
 
 
+def below(tree: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All descendants of the wanted blocks (doc_stem, id): doc_stem, id, descendant, distance.
+
+    A range join of Euler intervals inside each tree; adaptive execution splits a tree of very many blocks. A block on a
+    cycle is above what hangs below it, not above its cycle. Wanted blocks that are not there have no rows."""
+    up = tree.join(wanted.select(*NODE).distinct(), NODE, "left_semi").select("doc_stem", "root", "id", F.col("tour_in").alias("_in"), F.col("tour_out").alias("_out"), F.col("depth").alias("_depth"))
+    down = tree.select("doc_stem", "root", F.col("id").alias("descendant"), "tour_in", "tour_out", "depth")
+    return up.join(down, ["doc_stem", "root"]).where("_in < tour_in and tour_out < _out").select("doc_stem", "id", "descendant", (F.col("depth") - F.col("_depth")).alias("distance"))
+
+
+def descendants(tree: DataFrame) -> DataFrame:
+    """All descendants of all blocks: doc_stem, id, descendant, distance. A block's ancestors are its path, so every link
+    comes from one row and nothing is joined."""
+    links = tree.select("doc_stem", F.col("id").alias("descendant"), "depth", F.posexplode(F.slice("path", F.lit(1), F.col("depth"))).alias("_at", "id"))
+    return links.select("doc_stem", "id", "descendant", (F.col("depth") - F.col("_at")).alias("distance"))
+
+
+def block_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return descendants(block_hierarchy(spark, sf_dir))
+
+
+def block_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """block_hierarchy without tours, paths as text."""
+    tree = block_hierarchy(spark, sf_dir)
+    return tree.select("doc_stem", "id", "parent", "root", F.col("depth").cast("bigint").alias("depth"), F.array_join("path", " > ").alias("path"), "descendants", "cycle_id")
+
+
 def block_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy(table(spark, sf_dir, "semantic_blocks").select(*NODE, "page", "block_order", "parent_id", "children_ids"))
 

@@ -86,3 +86,44 @@ def test_paths_and_tours(spark, monkeypatch, slice_pages):
 
 def test_empty_table(spark):
     assert H.hierarchy(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def counted(monkeypatch, label):
+    made = []
+    whole = H.cut
+    monkeypatch.setattr(H, "cut", lambda df, name="step": (made.append(name), whole(df, name))[1])
+    return lambda: made.count(label)
+
+
+def test_chains_through_many_slices_take_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(H, "PAGES", 1)
+    monkeypatch.setattr(H, "AT_ONCE", 50)
+    n, rounds = 300, None
+    chain = [("chain", f"b{i:04d}", i, 0, f"b{i - 1:04d}" if i else None, None, None) for i in range(n)]
+    ring = [("ring", f"b{i:04d}", i, 0, f"b{(i - 1) % n:04d}", None, None) for i in range(n)] + [("ring", f"t{i:04d}", i, 1, f"t{i - 1:04d}" if i else "b0007", None, None) for i in range(n)]
+    small = [("small", "x", 0, 0, "y", None, None), ("small", "y", 0, 1, "x", None, None), ("small", "z", 1, 0, "x", None, None), ("small", "w", 2, 0, "z", None, None)]
+    rounds, peels = counted(monkeypatch, "doubled"), counted(monkeypatch, "peel")
+    got = cycles(spark, chain + ring + small)
+    assert got == {("ring", f"b{i:04d}", "b0000") for i in range(n)} | {("small", "x", "x"), ("small", "y", "x")}
+    assert rounds() <= 12 and peels() == 1
+
+
+def test_descendants_by_intervals_and_by_paths(spark, monkeypatch):
+    monkeypatch.setattr(H, "PAGES", 2)
+    rng = random.Random(4)
+    rows = tree(30, 2, rng, lambda i, r: f"b{r.randrange(i):03d}" if i > 1 and r.random() < 0.9 else "b001" if i == 1 else None)
+    rows = [(*r[:4], r[1] if r[1] == "b001" else r[4], None, None) for r in rows]  # b001 is a cycle of its own
+    out = H.hierarchy(spark.createDataFrame(rows, SCHEMA)).cache()
+    pairs = {tuple(r) for r in H.descendants(out).collect()}
+    path = {(r["doc_stem"], r["id"]): r["path"] for r in out.collect()}
+    assert pairs == {(d, a, i, len(p) - 1 - k) for (d, i), p in path.items() for k, a in enumerate(p[:-1])}
+    wanted = spark.createDataFrame([("d0", "b000"), ("d0", "b001"), ("d1", "b002"), ("d1", "none"), ("d0", "b000")], "doc_stem string, id string")
+    assert {tuple(r) for r in H.below(out, wanted).collect()} == {p for p in pairs if (p[0], p[1]) in {("d0", "b000"), ("d0", "b001"), ("d1", "b002")}}
+
+
+def test_slices_come_whole_in_bounded_frames(monkeypatch):
+    monkeypatch.setattr(H, "AT_ONCE", 4)
+    rows = H.pd.DataFrame({"k": list("aaabbbbbbbccd"), "n": range(13)})
+    out = list(H.in_slices(iter([rows[i : i + 3] for i in range(0, 13, 3)]), "k"))
+    assert H.pd.concat(out)["n"].tolist() == list(range(13)) and max(map(len, out)) <= 10
+    assert all(set(a["k"]).isdisjoint(b["k"]) for a, b in zip(out, out[1:]))
