@@ -48,6 +48,61 @@ def test_repaired_text(spark):
     assert out["d0", "head"] == "" and out["d0", "num"] == ""
 
 
+def test_running_lines_of_any_form(spark):
+    heads = ["Industrial Fittings 2024", "industrial fittings catalog", "Acme Industrial Co.", "工业阀门产品目录", "A very long head line of a catalog that goes on and on over more than ninety letters and more than ten words", "Katalog"]
+    rows = corpus(random.Random(5))
+    rows += [["t", f"h{k}", f"head{p}", p, "header", head, 0] for k, head in enumerate(heads) for p in (1, 2, 3)]
+    rows += [["t", f"h{k}", f"in{p}", p, "text", f"Tighten the mounting plate before\n{head}\neach bearing moves.", 0] for k, head in enumerate(heads) for p in (4, 5)]
+    rows += [["t", "h9", f"alone{p}", p, "text", "Precision Works Handbook", 0] for p in (1, 2, 3)] + [["t", "h9", f"title{p}", p, "paragraph_title", "Special Mounting Plates", 0] for p in (1, 2, 3)]
+    found = {x[:2] for x in items(spark, rows) if x[2] == "running_line"}
+    want = {(f"h{k}", f"{w}{p}") for k in range(len(heads)) for w, ps in (("head", (1, 2, 3)), ("in", (4, 5))) for p in ps} | {("h9", f"alone{p}") for p in (1, 2, 3)}
+    assert {x for x in found if x[0].startswith("h")} == want
+
+
+def test_page_numbers_by_their_place(spark):
+    rows = corpus(random.Random(6))
+    for p in (3, 12, 47, 110, 205, 12345):
+        rows += [["t", "a", f"en{p}", p, "text", f"Page {p} of 34000", 0], ["t", "b", f"zh{p}", p, "text", f"第 {p} 页", 0], ["t", "c", f"big{p}", p, "number", str(p), 0]]
+        rows += [["t", "d", f"in{p}", p, "text", f"Tighten the mounting plate before\n~ {p} ~ Catalog\neach bearing moves.", 0]]
+        rows += [["t", "e", f"no{p}{q}", p, "text", f"Travel {q} mm", 0] for q in (3, 12, 47, 110)]
+    found = {x[:2] for x in items(spark, rows) if x[2] == "page_number"}
+    assert {x for x in found if x[0] in "abcde"} == {(d, f"{n}{p}") for d, n in (("a", "en"), ("b", "zh"), ("c", "big"), ("d", "in")) for p in (3, 12, 47, 110, 205, 12345)}
+
+
+def test_tables_beside_text(spark):
+    text = "Tighten the inspecfion window.\n" + "Tighten the mounting plate before each bearing moves.\n" * 120 + "<table><tr><td>housinq</td></tr>\n<tr><td>4</td></tr></table>\nTighten the housinq."
+    assert S.prose(text).count("\n") == text.count("\n") and "<" not in S.prose(text) and S.prose(text).endswith("Tighten the housinq.")
+    assert S.prose("a\n| x | y |\n| 1 | 2 |\nb") == "a\n\n\nb" and S.prose("<td>x</td>") == "" and S.prose("a | b") == "a | b"
+    rows = corpus(random.Random(7)) + [["t", "d0", "x", 4, "text", text, 0]]
+    out = {(r["doc_stem"], r["id"]): r["repaired"] for r in S.repair_blocks(spark.createDataFrame([tuple(r) for r in rows], SCHEMA)).collect()}["d0", "x"]
+    assert out.startswith("Tighten the inspection window. Tighten") and "<td>housinq</td></tr>\n<tr><td>4</td>" in out and out.endswith("Tighten the housing.")
+
+
+def test_hyphens_and_repairs_by_line(spark):
+    rows = corpus(random.Random(8)) + [["t", "d0", f"k{n}", 2, "text", w, 0] for n, w in enumerate(["The post and the mounted plate.", "The remount and the mounting plate.", "re and mount"] * 3)]
+    rows += [["t", "d0", "x", 4, "text", "The post-\nmounted plate moves along the re-\nmount. Tighten the insp-\necfion window.", 0]]
+    out = {(r["doc_stem"], r["id"]): r["repaired"] for r in S.repair_blocks(spark.createDataFrame([tuple(r) for r in rows], SCHEMA)).collect()}
+    assert out["d0", "x"] == "The post-mounted plate moves along the remount. Tighten the inspection window."
+    fix = [(0, "hal1", "hall"), (2, "hal1", "hail")]
+    assert S.rebuild("A hal1 with wide open doors\nand\na hal1 of stones came down.", 1, None, [], fix, []) == "A hall with wide open doors and a hail of stones came down."
+
+
+def test_context_chooses_by_exact_counts(spark):
+    words = spark.createDataFrame([("hall", 50, 0), ("hail", 60, 0), ("ha1l", 1, 0)], "word string, n long, joined_n long")
+    pairs = spark.createDataFrame([("long", "hall", 7), ("hail", "storm", 9)], "before string, after string, n long")
+    suspects = spark.createDataFrame([("t", "d", "b", 0, "ha1l", "long", "way", None, None), ("t", "d", "b", 1, "ha1l", None, "storm", None, None), ("t", "d", "b", 2, "ha1l", None, None, None, None)], "source_table string, doc_stem string, id string, line int, token string, before string, after string, fold string, whole string")
+    running = spark.createDataFrame([], "key string")
+    got = {r["line"]: r["real"] for r in S.best_repairs(suspects, S.repair_table(words), pairs, words, running).collect()}
+    assert got == {0: "hall", 1: "hail", 2: "hail"}
+
+
+def test_filters_never_miss(spark):
+    keys = [f"key {i} ü" for i in range(2000)]
+    sieve = S.sieve_of(spark.createDataFrame([(k,) for k in keys], "k string"))
+    assert all(k in sieve for k in keys) and sum(f"other {i}" in sieve for i in range(2000)) < 60
+    assert "x" not in S.sieve_of(spark.createDataFrame([], "k string"))
+
+
 def test_costs_and_index():
     assert S.scan_cost("machined", "machiried") == S.CONFUSION_COST and S.scan_cost("door", "cloor") == S.CONFUSION_COST
     assert S.scan_cost("plate", "plates") > S.MAX_COST and S.scan_cost("bearing", "hearinq") == 2 * S.CONFUSION_COST
@@ -67,5 +122,5 @@ def test_candidates_by_index_equal_brute_force(spark):
                 words.setdefault(w.replace(real, seen, 1), 1)
     got = {(r["seen"], r["real"]) for r in S.repair_table(spark.createDataFrame(list(words.items()), "word string, n long")).collect()}
     want = {(a, b) for a, n in words.items() for b, m in words.items() if a != b and b.isalpha() and m >= 3 and m >= (S.RATIO if a.isalpha() else S.RATIO_ODD) * n and S.scan_cost(b, a) <= S.MAX_COST}
-    # two changes within the first letters are the index's reach; a change of two letters for two counts twice
     assert got <= want and len(got) >= 0.98 * len(want)
+    assert set(S.deletions("summing")) & set(S.deletions("surnrning")) and set(S.deletions("window")) & set(S.deletions("vvinclovv"))
