@@ -13,8 +13,19 @@ def once(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return (df.select(*columns) if columns else df.drop("ingested_at")).distinct()
 
 
-def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return once(spark, sf_dir, "semantic_blocks", "doc_stem", "id", "page", "type", "source_type", "text", "bbox", "block_order", "heading_level", "chunk_id")
+BLOCK_COLUMNS = ("doc_stem", "id", "page", "type", "source_type", "text", "bbox", "block_order", "heading_level", "chunk_id")
+
+
+def blocks(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Blocks once each; columns that a query does not name are neither read nor shuffled. The key always comes along."""
+    return once(spark, sf_dir, "semantic_blocks", *dict.fromkeys(("doc_stem", "id", *(columns or BLOCK_COLUMNS))))
+
+
+def outlined(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Blocks once each with the texts of headings only, for operators that look at no other text."""
+    names = dict.fromkeys(("doc_stem", "id", "page", "type", "source_type", "block_order", "heading_level", *columns))
+    text = F.when(F.col("type") == "heading", F.col("text")).alias("text")
+    return table(spark, sf_dir, "semantic_blocks").select(*names, text).distinct()
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import plain_lines
 from folioforge.operators import layout, outline
-from folioforge.plans.common import BLOCKS, PAGES, blocks, pages, rounded, sql_lines, sql_strip
+from folioforge.operators import hierarchy
+from folioforge.plans.problems import WALK
+from folioforge.plans.common import BLOCKS, PAGES, blocks, outlined, pages, rounded, sql_lines, sql_strip
+from folioforge.runtime import cut, table
 
 
 def q_page_blocks(spark, sf_dir):
@@ -25,24 +28,24 @@ def q_heading_level(spark, sf_dir):
 
 
 def q_reading_order(spark, sf_dir):
-    return layout.reading_order(blocks(spark, sf_dir)).select("doc_stem", "id", F.col("place").cast("bigint").alias("place"))
+    return layout.reading_order(blocks(spark, sf_dir, "page", "bbox", "block_order")).select("doc_stem", "id", F.col("place").cast("bigint").alias("place"))
 
 
 def q_section_path(spark, sf_dir):
-    return outline.section_paths(blocks(spark, sf_dir)).select("doc_stem", "id", F.array_join("path", " > ").alias("path"))
+    return outline.section_paths(outlined(spark, sf_dir)).select("doc_stem", "id", F.array_join("path", " > ").alias("path"))
 
 
 def q_container(spark, sf_dir):
-    return outline.attach_to_containers(blocks(spark, sf_dir)).select("doc_stem", "id", "container")
+    return outline.attach_to_containers(blocks(spark, sf_dir, "page", "type", "bbox", "block_order")).select("doc_stem", "id", "container")
 
 
 def q_chunks(spark, sf_dir):
-    return outline.chunks(blocks(spark, sf_dir)).select("doc_stem", "id", "chunk_no")
+    return outline.chunks(outlined(spark, sf_dir)).select("doc_stem", "id", "chunk_no")
 
 
 def q_chunk_summary(spark, sf_dir):
     """Blocks of each chunk by type, empty chunks left out."""
-    b = outline.chunks(blocks(spark, sf_dir))
+    b = outline.chunks(outlined(spark, sf_dir))
     kinds = ("heading", "table", "figure", "product_card", "specification", "paragraph")
     return b.groupBy("doc_stem", "chunk_no").agg(*[F.count(F.when(F.col("type") == k, 1)).alias(k) for k in kinds], F.min("page").alias("page")).where(" + ".join(kinds[1:]) + " > 0")
 
@@ -69,7 +72,7 @@ def q_markdown_blocks(spark, sf_dir):
 
 def q_box_geometry(spark, sf_dir):
     """Width, height, centre and gap to the block above on the page."""
-    b = layout.reading_order(blocks(spark, sf_dir)).where("bbox is not null").select("doc_stem", "id", "page", "place", layout.box("bbox").alias("bbox"))
+    b = layout.reading_order(blocks(spark, sf_dir, "page", "bbox", "block_order")).where("bbox is not null").select("doc_stem", "id", "page", "place", layout.box("bbox").alias("bbox"))
     from pyspark.sql import Window
 
     above = F.lag("bbox").over(Window.partitionBy("doc_stem", "page").orderBy("place"))
@@ -81,8 +84,19 @@ def q_box_geometry(spark, sf_dir):
 
 
 def q_dynamic(spark, sf_dir):
-    b = blocks(spark, sf_dir)
-    return outline.dynamic_sections(b, outline.page_roles(b)).select("doc_stem", "id", "level", F.array_join("section_path", " > ").alias("section_path"), "chunk_no")
+    return outline.dynamic_sections(blocks(spark, sf_dir)).select("doc_stem", "id", "level", F.array_join("section_path", " > ").alias("section_path"), "chunk_no")
+
+
+def q_extraction_roles(spark, sf_dir):
+    """What each block is read for, and whether it gives content."""
+    b = outline.with_roles(blocks(spark, sf_dir, "page", "type", "source_type", "text"))
+    return b.select("doc_stem", "id", "page_role", "extraction_role")
+
+
+def q_hierarchy_chunks(spark, sf_dir):
+    raw = table(spark, sf_dir, "semantic_blocks")
+    tree = cut(hierarchy.hierarchy(raw.select("doc_stem", "id", "page", "block_order", "parent_id", "children_ids")), "tree")
+    return outline.hierarchy_chunks(raw.select("doc_stem", "id", "page", "block_order", "type", F.when(F.col("type") == "heading", F.col("text")).alias("text")), tree).select("doc_stem", "id", F.col("chunk_no").cast("bigint").alias("chunk_no"), F.array_join("section_path", " > ").alias("section_path"))
 
 
 def q_typed_stream(spark, sf_dir):
@@ -94,7 +108,7 @@ def q_typed_stream(spark, sf_dir):
 
 def queries():
     return {
-        "q56_dynamic_sections": q_dynamic, "q57_typed_blocks": q_typed_stream,
+        "q56_dynamic_sections": q_dynamic, "q57_typed_blocks": q_typed_stream, "q58_extraction_roles": q_extraction_roles, "q59_hierarchy_chunks": q_hierarchy_chunks,
         "q07_page_blocks": q_page_blocks, "q08_block_type": q_block_type, "q09_heading_level": q_heading_level, "q10_reading_order": q_reading_order,
         "q11_section_path": q_section_path, "q12_container_attach": q_container, "q13_chunk_segment": q_chunks, "q14_score_join": q_score_join,
         "q43_index_entries": q_index_entries, "q44_page_role": q_page_role, "q46_chunk_summary": q_chunk_summary, "q47_markdown_blocks": q_markdown_blocks, "q48_box_geometry": q_box_geometry,
@@ -142,6 +156,17 @@ _CHUNKED = f"""content as (select *, case when type = 'heading' then lower(trim(
   chunked as (select *, (sum((h is not null and (b is null or b <> h))::int) over (partition by doc_stem order by coalesce(page, 0), block_order, id rows unbounded preceding))::bigint chunk_no from named)"""
 
 
+_ROLES = rf"""x as (select *, coalesce(text, '') t, trim(coalesce(text, '')) s, type = 'heading' hd from blocks),
+  p as (select doc_stem, page, bool_or(hd and regexp_matches(s, '(?i)^((table of )?contents|index)$')) it,
+    coalesce(bool_or(type in ('product_card', 'specification') or regexp_matches(t, '(?i)\b(SKU|article number|part (?:no|number))\b|[$€£]\s*\d') or (hd and regexp_matches(s, '^[A-Za-z]{{1,8}}[-/]?\d+[\w/.-]*$'))), false) e,
+    bool_or(type = 'table') tb, bool_or(hd) hs, count(*) n, sum(length(t)) c, sum(len(regexp_extract_all(t, '(?m)^(.+?)\s*(?:\.{{2,}}|\s{{3,}})\s*(\d+)\s*$'))) en,
+    bool_and(coalesce(type in ('heading', 'figure') or source_type in {_CHROME}, false)) bare, bool_or(regexp_matches(t, '(?i)catalog(?:ue)?|edition')) ti from x group by 1, 2),
+  r as (select *, case when it and en >= 2 and not e then 'index' when e and it then 'mixed' when e then 'product' when not tb and c + n - 1 < 500 and hs and n <= 5 and page = 1 and ti then 'cover'
+    when not tb and c + n - 1 < 500 and hs and n <= 5 and bare then 'section_divider' else 'uncertain' end role from p)"""
+_READ = rf"""read_for as (select x.doc_stem, x.id, r.role page_role, case when x.source_type in {_CHROME} then 'page_chrome' when hd and regexp_matches(s, '(?i)^((table of )?contents|index|chapters|sections)$') then 'navigation'
+    when coalesce(r.it, false) and regexp_matches(s, '^.+?\s*\.{{2,}}\s*\d+$') then 'index_entry' else 'content' end extraction_role from x join r on r.doc_stem = x.doc_stem and r.page = x.page)"""
+
+
 def oracle_sql():
     kinds = ("heading", "table", "figure", "product_card", "specification", "paragraph")
     return {
@@ -175,14 +200,33 @@ def oracle_sql():
   p as (select doc_stem, id, score, row_number() over (partition by doc_stem, id order by tier, rank) n from j where tier is not null)
   select b.doc_stem, b.id, p.score confidence from b left join p on b.doc_stem = p.doc_stem and b.id = p.id and p.n = 1""",
         "q43_index_entries": f"with {BLOCKS}, x as (select doc_stem, id, {sql_lines('text')} t from blocks), y as (select doc_stem, id, unnest(regexp_extract_all(t, '{_ENTRY}', 1)) a, unnest(regexp_extract_all(t, '{_ENTRY}', 2)) b, generate_subscripts(regexp_extract_all(t, '{_ENTRY}', 1), 1) - 1 pos from x) select doc_stem, id, pos, trim(a) title, try_cast(b as int) printed_page from y",
-        "q44_page_role": rf"""with {BLOCKS}, x as (select *, coalesce(text, '') t, trim(coalesce(text, '')) s, type = 'heading' hd from blocks),
-  p as (select doc_stem, page, bool_or(hd and regexp_matches(s, '(?i)^((table of )?contents|index)$')) it,
-    coalesce(bool_or(type in ('product_card', 'specification') or regexp_matches(t, '(?i)\b(SKU|article number|part (?:no|number))\b|[$€£]\s*\d') or (hd and regexp_matches(s, '^[A-Za-z]{{1,8}}[-/]?\d+[\w/.-]*$'))), false) e,
-    bool_or(type = 'table') tb, bool_or(hd) hs, count(*) n, sum(length(t)) c, sum(len(regexp_extract_all(t, '(?m)^(.+?)\s*(?:\.{{2,}}|\s{{3,}})\s*(\d+)\s*$'))) en,
-    bool_and(coalesce(type in ('heading', 'figure') or source_type in {_CHROME}, false)) bare, bool_or(regexp_matches(t, '(?i)catalog(?:ue)?|edition')) ti from x group by 1, 2),
-  r as (select *, case when it and en >= 2 and not e then 'index' when e and it then 'mixed' when e then 'product' when not tb and c + n - 1 < 500 and hs and n <= 5 and page = 1 and ti then 'cover'
-    when not tb and c + n - 1 < 500 and hs and n <= 5 and bare then 'section_divider' else 'uncertain' end role from p)
-  select doc_stem, page, role, case when role = 'uncertain' then 'low' else 'high' end confidence, en::bigint entries from r""",
+        "q44_page_role": f"with {BLOCKS}, {_ROLES} select doc_stem, page, role, case when role = 'uncertain' then 'low' else 'high' end confidence, en::bigint entries from r",
+        "q58_extraction_roles": f"with {BLOCKS}, {_ROLES}, {_READ} select doc_stem, id, page_role, extraction_role from read_for",
+        "q56_dynamic_sections": rf"""with recursive {BLOCKS}, {_ROLES}, {_READ},
+  kept as (select k.*, row_number() over (partition by doc_stem order by coalesce(page, 0), coalesce(block_order, 0), id) g from (select b.*, page_role from blocks b join read_for using (doc_stem, id) where page_role not in ('cover', 'index') and extraction_role = 'content') k),
+  h as (select doc_stem, id, g, page, source_type l, coalesce(text, '') t, {sql_strip("lower(coalesce(text, ''))")} k, coalesce(heading_level, 2) given, bbox, row_number() over (partition by doc_stem order by g) n,
+    list_transform(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+'), lambda w: w not in {_in(outline.SMALL_WORDS)}), lambda w: case when w like '___%ves' then w[:-4] || 'f' when w like '___%ies' then w[:-4] || 'y' when w like '_%_sses' then w[:-3] when w like '_%_xes' then w[:-3] when w like '_%_ches' then w[:-3] when w like '_%_shes' then w[:-3] when w like '%ss' then w when w like '_%_s' then w[:-2] else w end) st from kept where type = 'heading'),
+  walk as (select doc_stem, 0::bigint n, 0 lv, true begins, []::struct(l int, t varchar, k varchar)[] op, 0::bigint mn from h group by 1
+    union all select doc_stem, n, lv, begins, case when begins then list_append(list_filter(op, lambda o: o.l < lv), {{'l': lv, 't': t, 'k': k}}) else op end, case when begins and lv <= 2 and has then n else mn end from (
+      select x.doc_stem, x.n, x.t, x.k, w.op, w.mn, x.bbox is not null has, coalesce(w.op[-1].t <> x.t, true) begins, case when w.op[-1].t = x.t then w.op[-1].l
+        when x.l is distinct from 'paragraph_title' then x.given
+        when x.k in {_in(outline.DETAIL_TITLES)} then case when len(w.op) = 0 or w.op[-1].k in {_in(outline.DETAIL_TITLES)} then 3 else greatest(3, w.op[-1].l + 1) end
+        when regexp_matches(x.t, '^\d+(?:\.\d+)*\.?\s+') then x.given
+        when len(w.op) > 0 and x.k <> w.op[-1].k and contains(w.op[-1].k, x.k) then w.op[-1].l + 1
+        when m.page = x.page and list_has_any(m.st, x.st) and x.bbox[2] > m.bbox[2] + 30 and x.bbox[3] - x.bbox[1] < 0.7 * (m.bbox[3] - m.bbox[1]) then 3 else 2 end lv
+      from walk w join h x on x.doc_stem = w.doc_stem and x.n = w.n + 1 left join h m on m.doc_stem = w.doc_stem and m.n = w.mn)),
+  hs as (select h.*, w.lv, w.begins, list_transform(w.op, lambda o: o.t) path from walk w join h on h.doc_stem = w.doc_stem and h.n = w.n),
+  pt as (select k.doc_stem, k.id, k.g, k.page_role, hs.lv, max(case when hs.begins then k.g end) over v sec, max(hs.g) over v hg from kept k left join hs on hs.doc_stem = k.doc_stem and hs.id = k.id window v as (partition by k.doc_stem order by k.g)),
+  pl as (select *, row_number() over (partition by doc_stem, sec order by g) = 1 fst from pt where page_role <> 'section_divider')
+  select pl.doc_stem, pl.id, pl.lv "level", coalesce(array_to_string(hs.path, ' > '), '') section_path, (sum(fst::int) over (partition by pl.doc_stem order by pl.g))::int chunk_no from pl left join hs on hs.doc_stem = pl.doc_stem and hs.g = pl.hg""",
+        "q59_hierarchy_chunks": WALK + """, k as (select doc_stem, id, max(type) ty, max(case when type = 'heading' then trim(text) end) tx, min(page) pg, min(block_order) bo from semantic_blocks group by 1, 2),
+  step as (select w.doc_stem, w.id, i, w.path[i] t from (select *, unnest(generate_series(1, len(path))) i from walk) w),
+  named as (select s.doc_stem, s.id, list(printf('%09d.%09d.', coalesce(k.pg, 0), coalesce(k.bo, 0)) || s.t order by i) so, list(k.tx order by i) filter (k.ty = 'heading') titles from step s join k on k.doc_stem = s.doc_stem and k.id = s.t group by 1, 2),
+  a as (select w.doc_stem, w.id, w.path[-2] parent, w.path[-3] grand, k.ty, u.ty above, g.ty top, n.so, n.titles from walk w join k on k.doc_stem = w.doc_stem and k.id = w.id join named n on n.doc_stem = w.doc_stem and n.id = w.id
+    left join k u on u.doc_stem = w.doc_stem and u.id = w.path[-2] left join k g on g.doc_stem = w.doc_stem and g.id = w.path[-3]),
+  o as (select *, case when ty = 'heading' then id when above = 'heading' then parent when above = 'product_card' and top = 'heading' and ty in ('specification', 'table', 'paragraph') then grand when parent is null and ty in ('table', 'specification', 'product_card') then id end own from a),
+  c as (select doc_stem, id, row_number() over (partition by doc_stem order by so) chunk_no, case when ty = 'heading' then coalesce(array_to_string(titles, ' > '), '') else '(unlabelled)' end section_path from o where own = id)
+  select o.doc_stem, o.id, c.chunk_no, c.section_path from o join c on c.doc_stem = o.doc_stem and c.id = o.own""",
         "q48_box_geometry": f"""with {BLOCKS}, o as (select *, row_number() over (partition by doc_stem, page order by block_order nulls first, coalesce(bbox[2], 1e9), coalesce(bbox[1], 1e9), id) place from blocks),
   a as (select *, lag({{'b': bbox}}) over (partition by doc_stem, page order by place) ab from o where bbox is not null)
   select doc_stem, id, round(greatest(0, bbox[3] - bbox[1]), 6) width, round(greatest(0, bbox[4] - bbox[2]), 6) height, round((bbox[1] + bbox[3]) / 2, 6) centre, round(bbox[2] - ab.b[4], 6) gap, case when ab is not null then round({_OVER.format('ab.b', 'bbox')}, 6) end overlap from a""",

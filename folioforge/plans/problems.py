@@ -57,7 +57,7 @@ cyclic as (
   where a.up = a.id
   group by a.doc_stem, a.id)"""
 
-_WALK = f"""with recursive {_CYCLIC},
+WALK = f"""with recursive {_CYCLIC},
 best as (select *, row_number() over (partition by doc_stem, child order by own desc, parent) n from links),
 tree as (select n.doc_stem, n.id, b.parent from nodes n
   left join best b on b.doc_stem = n.doc_stem and b.child = n.id and b.n = 1 and not exists (select 1 from cyclic c where c.doc_stem = n.doc_stem and c.id = n.id)),
@@ -71,9 +71,9 @@ def oracle_sql():
         "p1_found": ORPHANS + "select source_table, period, record_id from found",
         "p1_by_month": ORPHANS + "select source_table, period, count(*) orphans from found group by 1, 2",
         "p4_found": f"with recursive {_CYCLIC} select doc_stem, id, cycle_id from cyclic",
-        "p4_paths": _WALK + """ select w.doc_stem, w.id, w.path[-2] parent, w.path[1] root, len(w.path) - 1 as depth, array_to_string(w.path, ' > ') path,
+        "p4_paths": WALK + """ select w.doc_stem, w.id, w.path[-2] parent, w.path[1] root, len(w.path) - 1 as depth, array_to_string(w.path, ' > ') path,
   coalesce(b.n, 0)::bigint descendants, c.cycle_id from walk w
   left join (select doc_stem, id, count(*) n from below group by 1, 2) b on b.doc_stem = w.doc_stem and b.id = w.id
   left join cyclic c on c.doc_stem = w.doc_stem and c.id = w.id""",
-        "p4_descendants": _WALK + " select doc_stem, id, descendant, distance::int distance from below",
+        "p4_descendants": WALK + " select doc_stem, id, descendant, distance::int distance from below",
     }
