@@ -40,13 +40,13 @@ def key_hash() -> Column:
     return F.xxhash64(*[F.col(k) for k in KEY])
 
 
-def spots(h: Column, bits: int) -> Column:
+def spots(h: Column, bits: int | Column) -> Column:
     """The bits of a key's hash in a filter."""
     low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
     return F.array(*[F.pmod(low + high * F.lit(i), F.lit(bits)) for i in range(HASHES)])
 
 
-def words_of(hashes: DataFrame, bits: int, *bucket: str) -> DataFrame:
+def words_of(hashes: DataFrame, bits: int | Column, *bucket: str) -> DataFrame:
     """Filters as 64-bit words, built by a map-side combined aggregation: (bucket, word, mask)."""
     return (
         hashes.select(*bucket, F.explode(spots(F.col("h"), bits)).alias("spot"))

@@ -39,11 +39,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def cut(df: DataFrame, label: str = "step") -> DataFrame:
-    """Writes df into the shared folder and reads it back: lineage ends here and shuffle files can go."""
+def cut(df: DataFrame, label: str = "step", by: str | None = None) -> DataFrame:
+    """Writes df into the shared folder and reads it back: lineage ends here and shuffle files can go.
+
+    by: a column of few values; readers of some of them skip the files of the others."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._folioforge_path = path
     return back
