@@ -53,6 +53,7 @@ TITLES = ("paragraph_title", "doc_title", "title", "heading", "table", "image",
 FURNITURE = ("header", "footer")
 
 HYPHENS = "-­‐‑¬⁃"
+_HYPHENS = frozenset(HYPHENS)
 _LINES = re.compile(r"\r\n|\r|\n")
 _BROKEN = re.compile(rf"([^\W\d_])[{HYPHENS}][ \t\xa0]*$")
 _GLUE = re.compile(rf"(?<=[^\W\d_])[{HYPHENS}][ \t\xa0]*(?:\r\n|\r|\n)\s*(?=[^\W\d_])")
@@ -65,13 +66,12 @@ _BEFORE = re.compile(rf"({_NUMERAL}|[–—-]\s*{_NUMERAL}\s*[–—-]|\[{_NUMER
 _AFTER = re.compile(rf"(?<=\S)\s*(?:\s|[|·•])\s*({_NUMERAL}|(?:p\.|page)\s*{_NUMERAL}|[–—-]\s*{_NUMERAL}\s*[–—-]|\[{_NUMERAL}\])$", re.I)
 _TOKEN = re.compile(r"[\w@|!$]{3,}")
 _END = re.compile(r"[.!?:;,。！？؟।…]['\"”’»)\]]*$")
-_INNER = re.compile(rf"[^\W\d_]{{2}}[.!?;:,]\s|[{HYPHENS}]\s*$")
+_INNER = re.compile(rf"(?<=[^\W\d_][^\W\d_])[.!?;:,]\s|[{HYPHENS}]\s*$")
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 _NUMBER = re.compile(r"(?<![\w.,])\d+(?![.,]?\w)", re.A)
 _HTML = re.compile(r"<t(able|d)\b", re.I)
 _LINE_END = re.compile(r"[\r\n]|$")
 _HTML_END = re.compile(r"</table\s*>", re.I)
-_GAPS = re.compile(r"[\W_]+")
 _UNSPACED = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 
 
@@ -86,19 +86,25 @@ def numeral(text: str) -> int | None:
     return sum(-v if v < max(values[i + 1 :], default=0) else v for i, v in enumerate(values))
 
 
-_FOLD = str.maketrans({"1": "l", "|": "l", "!": "l", "i": "l", "0": "o", "5": "s", "@": "a", "c": "e", "f": "t", "q": "g", "b": "h", "8": "h", "6": "h", "$": "s"})
+_FOLD = {code: " " for code in range(0x3100) if not chr(code).isalnum()} | str.maketrans({"1": "l", "|": "l", "!": "l", "i": "l", "0": "o", "5": "s", "@": "a", "c": "e", "f": "t", "q": "g", "b": "h", "8": "h", "6": "h", "$": "s"})
 
 
 def fold_line(line: str) -> str:
     """One form for all prints and misreadings of a running line: case, blanks, bars and lookalike signs do not matter."""
-    text = line.strip(" \t\xa0|·•").casefold().replace("rn", "m").replace("ii", "u").replace("vv", "w").replace("ri", "n").replace("cl", "d").translate(_FOLD)
-    return _GAPS.sub(" ", text).strip()
+    text = line.strip(" \t\xa0|·•").casefold().replace("rn", "m").replace("ii", "u").replace("vv", "w").replace("ri", "n").replace("cl", "d")
+    return " ".join(text.translate(_FOLD).split())
 
 
-def slots(line: str, page: int | None) -> Iterator[tuple[str, bool]]:
+def lines_of(text: str) -> list[str]:
+    return _LINES.split(text) if "\r" in text else text.split("\n")
+
+
+def slots(line: str, page: int | None, own_only: bool = False) -> Iterator[tuple[str, bool]]:
     """For each number in a line: the folded line with the number left open, and whether the number is the page's."""
     for m in _NUMBER.finditer(line):
-        yield f"{fold_line(line[: m.start()])}#{fold_line(line[m.end() :])}", len(m[0]) < 10 and int(m[0]) == page
+        own = len(m[0]) < 10 and int(m[0]) == page
+        if own or not own_only:
+            yield f"{fold_line(line[: m.start()])}#{fold_line(line[m.end() :])}", own
 
 
 def whole(page) -> int | None:
@@ -136,7 +142,7 @@ def glued(text: str) -> str:
 def page_number(line: str, page: int | None, label: str | None, inside: bool) -> bool:
     """A styled number counts wherever it stands alone; a bare one if it is the page's, or the block is furniture."""
     text = line.strip()
-    if not text:
+    if not text or text[0] not in _NUMBER_STARTS or len(text) > 48 and len("".join(text.split())) > 48:
         return False
     if _STYLED.fullmatch(text):
         return True
@@ -145,42 +151,48 @@ def page_number(line: str, page: int | None, label: str | None, inside: bool) ->
     return False
 
 
+_NUMBER_STARTS = frozenset("0123456789[(–—-|·•pPsSivxlcdmIVXLCDM")
 _LETTERS = re.compile(r"[^\W\d_]{3}[^\n]*[^\W\d_]{3}")
-_EDGES = frozenset("0123456789[]–—-ivxlcdmIVXLCDM")
+_EDGES, _ROMANS = frozenset("0123456789[]–—-"), frozenset("ivxlcdmIVXLCDM")
+_MAY_EDGE = _EDGES | _ROMANS
+_ROMAN_FIRST, _ROMAN_LAST = re.compile(r"[ivxlcdm]+\s", re.I), re.compile(r"[\s|·•][ivxlcdm]+$", re.I)
 
 
 def split_number(line: str, page: int | None) -> tuple[str, bool]:
     """The line without a page number at either end, and whether there was one."""
     text = line.strip()
-    if text[0] in _EDGES and (m := _BEFORE.match(text)) and numeral(m[1]) == page:
+    first, last = text[0], text[-1]
+    if (first in _EDGES or first in _ROMANS and _ROMAN_FIRST.match(text)) and (m := _BEFORE.match(text)) and numeral(m[1]) == page:
         return text[m.end() :], True
-    if text[-1] in _EDGES and (m := _AFTER.search(text, max(0, len(text) - 48))) and numeral(m[1]) == page:
+    if (last in _EDGES or last in _ROMANS and _ROMAN_LAST.search(text, max(0, len(text) - 20))) and (m := _AFTER.search(text, max(0, len(text) - 48))) and numeral(m[1]) == page:
         return text[: m.start()], True
     return line, False
 
 
-def may_run(line: str) -> bool:
+def may_run(line: str, alone: bool) -> bool:
     """Whether an unlabelled line could be a running line: no sentence, begun in no small letter, of two words or more (four
-    signs in scripts without blanks)."""
+    signs in scripts without blanks); in a text, half of its words begun with capitals."""
     text = line.strip(" \t\xa0|·•")
-    if len(text) < 4 or text[0].islower() or not text[0].isalnum() or _END.search(text, max(0, len(text) - 8)) or _INNER.search(text):
+    if len(text) < 4 or text[0].islower() or not text[0].isalnum() or _END.search(text, max(0, len(text) - 8)):
         return False
-    if " " not in text and "\xa0" not in text:
-        return bool(_UNSPACED.search(text))
     words = text.split()
-    return 2 * sum(w[0].isalpha() for w in words) > len(words)
+    if len(words) == 1:
+        return alone and bool(_UNSPACED.search(text))
+    if not alone and 2 * sum(w[0].isupper() for w in words) < len(words):
+        return False
+    return not _INNER.search(text) and 2 * sum(w[0].isalpha() for w in words) > len(words)
 
 
 class Block:
     """The lines of a block's prose with what each could be: '' (blank), 'num', 'run' (a candidate) or 'text'."""
 
     def __init__(self, text: str, page: int | None, label: str | None):
-        self.lines = _LINES.split(text)
+        self.lines = lines_of(text)
         full = [i for i, x in enumerate(self.lines) if x.strip()]
         self.whole = len(full) == 1
         labelled = self.whole and label in FURNITURE
         inside = bool(_LETTERS.search(text))
-        self.kind, self.folds, self.numbered = [], {}, set()
+        self.kind, self.rests, self.numbered = [], {}, set()
         for i, x in enumerate(self.lines):
             if not x.strip():
                 self.kind.append("")
@@ -189,14 +201,17 @@ class Block:
                 self.kind.append("num")
                 continue
             rest, number = split_number(x, page)
-            if labelled or may_run(rest):
+            if labelled or may_run(rest, self.whole):
                 self.kind.append("run")
-                self.folds[i] = fold_line(rest)
+                self.rests[i] = rest
                 if number:
                     self.numbered.add(i)
             else:
                 self.kind.append("text")
 
+    def fold(self, i: int) -> str | None:
+        return fold_line(self.rests[i]) if i in self.rests else None
+
     def neighbour(self, i: int, step: int) -> str | None:
         i += step
         while 0 <= i < len(self.lines):
@@ -208,15 +223,13 @@ class Block:
     def interrupts(self, i: int) -> bool:
         """A candidate in title case between the halves of a sentence."""
         before, after = self.neighbour(i, -1), self.neighbour(i, 1)
-        words = self.lines[i].strip(" \t\xa0|·•").split()
-        titled = 2 * sum(w[0].isupper() for w in words) >= len(words)
-        return bool(titled and before and after and not _END.search(before) and after[0].islower())
+        return bool(before and after and after[0].islower() and not _END.search(before, max(0, len(before) - 8)))
 
     def breaks(self) -> list[tuple[int, int]]:
         """(line, line on which it goes on) for each word cut at a line end."""
         out = []
         for i, x in enumerate(self.lines):
-            if self.kind[i] not in ("text", "run") or not _BROKEN.search(x):
+            if self.kind[i] not in ("text", "run") or x.rstrip(" \t\xa0")[-1:] not in _HYPHENS or not _BROKEN.search(x):
                 continue
             j = i + 1
             while j < len(self.lines):
@@ -262,7 +275,7 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if k == "num":
                     found.append(("num", source, doc, id_, page, i, None, 1, 0, 0, True))
                 elif k == "run":
-                    found.append(("alone" if b.whole else "line", source, doc, id_, page, i, b.folds[i], 1, int(b.whole and label in FURNITURE), -int(label in TITLES) if b.whole else int(b.interrupts(i)), i in b.numbered))
+                    found.append(("alone" if b.whole else "line", source, doc, id_, page, i, b.fold(i), 1, int(b.whole and label in FURNITURE), -int(label in TITLES) if b.whole else int(b.interrupts(i)), i in b.numbered))
                 if k in ("run", "text") and mine and mine in b.lines[i]:
                     found += numbered_line(source, doc, id_, page, i, b.lines[i])
             if not b.whole:
@@ -296,16 +309,20 @@ def single_line(source, doc, id_, page, label, text) -> list[tuple]:
         return [("num", source, doc, id_, page, 0, None, 1, 0, 0, True)]
     rest, number = split_number(text, page)
     out = numbered_line(source, doc, id_, page, 0, text) if page is not None and str(page) in text else []
-    if label in FURNITURE or may_run(rest):
+    if label in FURNITURE or may_run(rest, True):
         out.append(("alone", source, doc, id_, page, 0, fold_line(rest), 1, int(label in FURNITURE), -int(label in TITLES), number))
     return out
 
 
 def numbered_line(source, doc, id_, page, i, line) -> list[tuple]:
     """Rows for the page's number in a line that is no sentence."""
-    if _END.search(line.rstrip()) or _INNER.search(line):
+    if sentence(line):
         return []
-    return [("slot", source, doc, id_, page, i, key, 1, 0, 0, True) for key, own in slots(line, page) if own]
+    return [("slot", source, doc, id_, page, i, key, 1, 0, 0, True) for key, _ in slots(line, page, True)]
+
+
+def sentence(line: str) -> bool:
+    return bool(_END.search(line.rstrip(), max(0, len(line) - 12)) or _INNER.search(line))
 
 
 def blocks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,28 +426,37 @@ class Sieve:
         return True
 
 
-def sieve_of(keys: DataFrame) -> Sieve:
-    """The filter of the first column of keys."""
-    hashes = keys.select(F.xxhash64(F.col(keys.columns[0])).alias("h")).distinct()
-    bits = min(filter_bits(hashes.count()), MAX_FILTER_BITS)
-    words = words_of(hashes, bits).toPandas()
-    filled = np.zeros(bits // 64, dtype=np.uint64)
-    filled[words["word"].to_numpy(dtype=np.int64)] = words["mask"].to_numpy(dtype=np.int64).view(np.uint64)
-    return Sieve(filled)
+def sieves_of(**keys: DataFrame) -> dict[str, Sieve]:
+    """The filters of the first columns of several tables, built together."""
+    parts = [df.select(F.lit(name).alias("of"), F.xxhash64(F.col(df.columns[0])).alias("h")) for name, df in keys.items()]
+    hashes = parts[0]
+    for part in parts[1:]:
+        hashes = hashes.unionByName(part)
+    hashes = hashes.distinct()
+    bits = dict.fromkeys(keys, filter_bits(1)) | {r["of"]: min(filter_bits(r["count"]), MAX_FILTER_BITS) for r in hashes.groupBy("of").count().collect()}
+    size = F.create_map(*[F.lit(x) for pair in bits.items() for x in pair])
+    words = words_of(hashes.withColumn("_bits", size[F.col("of")].cast("bigint")), F.col("_bits"), "of").toPandas()
+    out = {}
+    for name, n in bits.items():
+        mine, filled = words[words["of"] == name], np.zeros(n // 64, dtype=np.uint64)
+        filled[mine["word"].to_numpy(dtype=np.int64)] = mine["mask"].to_numpy(dtype=np.int64).view(np.uint64)
+        out[name] = Sieve(filled)
+    return out
 
 
 SUSPECT = "kind string, source_table string, doc_stem string, id string, line int, token string, before string, after string, fold string, whole string, n bigint, numbered boolean"
 SUSPECTED = ["kind", "source_table", "doc_stem", "id", "line", "token", "before", "after", "fold", "whole", "n", "numbered"]
 
 
-def suspects_of(known: frozenset, competing: Sieve, running: Sieve, paged: Sieve):
-    """known: words not to look at; competing: words that share a misread form with others; running, paged: learnt lines."""
+def suspects_of(known: frozenset, competing: Sieve, running: Sieve, paged: Sieve, heads: Sieve):
+    """known: words not to look at; competing: words that share a misread form with others; running, paged: learnt lines;
+    heads: what these begin with."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Second pass: tokens that are no known words, with their neighbours (kind token; whole is the joined word where
         the token is a half); pairs with a competing word (pair); lines that may be learnt running lines (line) or hold a
         number where learnt lines hold the page's (slot)."""
-        fine, pairs, judged, rivals = set(known), Counter(), set(), set()
+        fine, pairs, judged, rivals, begins = set(known), Counter(), set(), set(), {}
         for frame in batches:
             out = []
             for source, doc, id_, page, label, text in zip(frame["source_table"], frame["doc_stem"], frame["id"], frame["page"], frame["label"], frame["text"]):
@@ -438,24 +464,34 @@ def suspects_of(known: frozenset, competing: Sieve, running: Sieve, paged: Sieve
                 if not text:
                     continue
                 tokens_ = _TOKEN.findall(glued(text).casefold())
-                fresh = set(tokens_) - judged
-                if fresh:
+                if not judged.issuperset(tokens_):
                     if len(judged) > COUNTED:
                         judged.clear()
+                    fresh = set(tokens_) - judged
                     judged |= fresh
                     rivals.update(t for t in fresh if t in competing)
                 if not rivals.isdisjoint(tokens_):
                     pairs.update(p for p in zip(tokens_, tokens_[1:]) if p[0] in rivals or p[1] in rivals)
-                lines = _LINES.split(text)
+                lines, number_ = lines_of(text), whole(page)
                 for i, x in enumerate(lines):
-                    if not x or x.isspace():
+                    line = x.strip()
+                    if not line:
                         continue
-                    if len(lines) > 1:
-                        rest, number = split_number(x, whole(page))
-                        if (key := fold_line(rest)) in running:
+                    # most lines begin as none of the learnt ones do, and are not folded
+                    start = line.split(None, 1)[0]
+                    met = begins.get(start)
+                    if met is None:
+                        if len(begins) > COUNTED:
+                            begins.clear()
+                        head = fold_line(start).partition(" ")[0]
+                        met = begins[start] = not head or head in heads or start[0].isdecimal()
+                    edged = line[0] in _MAY_EDGE or line[-1] in _MAY_EDGE
+                    if len(lines) > 1 and (met or edged):
+                        rest, number = split_number(x, number_) if edged else (x, False)
+                        if (met or number) and (key := fold_line(rest)) in running:
                             out.append(("line", source, doc, id_, i, key, None, None, None, None, None, number))
-                    if not paged.empty and _NUMBER.search(x) and not _INNER.search(x):
-                        out += [("slot", source, doc, id_, i, key, None, None, None, None, None, own) for key, own in slots(x, whole(page)) if key in paged]
+                    if met and not paged.empty and _NUMBER.search(x) and not sentence(x):
+                        out += [("slot", source, doc, id_, i, key, None, None, None, None, None, own) for key, own in slots(x, number_) if key in paged]
                 odd = not fine.issuperset(tokens_)
                 if odd:
                     strange = [t for t in tokens_ if t not in fine]
@@ -489,7 +525,7 @@ def suspects_of(known: frozenset, competing: Sieve, running: Sieve, paged: Sieve
                     if t not in known and len(t) >= 3:
                         for form in {t, t.strip("|!$")}:
                             if len(form) >= 3 and likely(form):
-                                out.append(("token", source, doc, id_, i, form, tokens[n - 1][0] if n else None, tokens[n + 1][0] if n + 1 < len(tokens) else None, b.folds.get(i), of, None, None))
+                                out.append(("token", source, doc, id_, i, form, tokens[n - 1][0] if n else None, tokens[n + 1][0] if n + 1 < len(tokens) else None, b.fold(i), of, None, None))
             if out:
                 yield framed(out, SUSPECTED, SUSPECTED)
             if len(pairs) > COUNTED:
@@ -570,7 +606,7 @@ def scan_findings(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     joined_n (of these, over line ends)."""
     spark = blocks.sparkSession
     blocks = cut(blocks, "blocks")
-    first = cut(blocks.mapInPandas(survey, COUNT_ROW), "survey")
+    first = cut(blocks.mapInPandas(survey, COUNT_ROW), "survey", by="kind")
     count = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")))
     words = cut(first.where("kind in ('word', 'joined')").groupBy(F.col("key").alias("word")).agg(count("word").alias("n"), F.coalesce(count("joined"), F.lit(0)).alias("joined_n")).where("n is not null"), "words")
     repairs = cut(repair_table(words), "repairs")
@@ -579,12 +615,14 @@ def scan_findings(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     lines = first.where("kind in ('line', 'alone')")
     running = cut(running_lines(lines), "running")
     paged = cut(paged_lines(first), "paged")
-    held = spark.sparkContext.broadcast((frozenset(r[0] for r in top.select("word").collect()), sieve_of(rivals), sieve_of(running), sieve_of(paged)))
+    heads = running.select(F.substring_index("key", " ", 1).alias("k")).unionByName(paged.select(F.substring_index(F.substring_index("key", "#", 1), " ", 1).alias("k")))
+    sieves = sieves_of(rivals=rivals, running=running, paged=paged, heads=heads)
+    held = spark.sparkContext.broadcast((frozenset(r[0] for r in top.select("word").collect()), *sieves.values()))
 
     def find(batches):
         yield from suspects_of(*held.value)(batches)
 
-    second = cut(blocks.mapInPandas(find, SUSPECT), "suspects")
+    second = cut(blocks.mapInPandas(find, SUSPECT), "suspects", by="kind")
     block = ["source_table", "doc_stem", "id", "line"]
     pairs = second.where("kind = 'pair'").groupBy("before", "after").agg(F.sum("n").alias("n"))
     misread = cut(best_repairs(second.where("kind = 'token'"), repairs, pairs, words, running), "misread")
@@ -618,7 +656,7 @@ def rebuild(text: str, page, label, drop: list[int], fixes: list[tuple[int, str,
     plain = prose(text)
     if not plain.strip():
         return text
-    b, whole_lines = Block(plain, whole(page), label), _LINES.split(text)
+    b, whole_lines = Block(plain, whole(page), label), lines_of(text)
     gone, kept = set(drop), set(compounds)
     goes_on = dict(b.breaks())
     of_line: dict[int, dict[str, str]] = {}

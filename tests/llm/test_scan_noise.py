@@ -98,9 +98,10 @@ def test_context_chooses_by_exact_counts(spark):
 
 def test_filters_never_miss(spark):
     keys = [f"key {i} ü" for i in range(2000)]
-    sieve = S.sieve_of(spark.createDataFrame([(k,) for k in keys], "k string"))
+    both = S.sieves_of(full=spark.createDataFrame([(k,) for k in keys], "k string"), none=spark.createDataFrame([], "k string"))
+    sieve = both["full"]
     assert all(k in sieve for k in keys) and sum(f"other {i}" in sieve for i in range(2000)) < 60
-    assert "x" not in S.sieve_of(spark.createDataFrame([], "k string"))
+    assert "x" not in both["none"] and both["none"].empty and not sieve.empty
 
 
 def test_costs_and_index():
