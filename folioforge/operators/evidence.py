@@ -26,15 +26,25 @@ def windows(text: str | Column, size: int = WINDOW, step: int = STEP) -> Column:
 
 
 def dense_pieces(text: str | Column, size: int = DENSE) -> Column:
-    """array<string>: whole lines gathered up to size; a longer line is a piece of its own."""
-    lines = F.filter(F.split(col(text), r"(?<=\n)"), lambda x: x != "")
+    """array<string>: whole lines gathered up to size; a longer line is a piece of its own. Null stays null."""
 
-    def fold(done, x):
-        last = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(""))
-        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.concat(last, x)))
-        return F.when((F.size(done) > 0) & (F.length(last) + F.length(x) <= size), joined).otherwise(F.concat(done, F.array(x)))
+    @F.pandas_udf("array<string>")
+    def gather(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else gathered(t, size) for t in texts], dtype=object)
 
-    return F.aggregate(lines, F.array().cast("array<string>"), fold)
+    return gather(col(text))
+
+
+def gathered(text: str, size: int = DENSE) -> list[str]:
+    out: list[str] = []
+    held, length = [], 0
+    for line in re.findall(r"[^\n]*\n|[^\n]+$", text):
+        if held and length + len(line) > size:
+            out.append("".join(held))
+            held, length = [], 0
+        held.append(line)
+        length += len(line)
+    return [*out, "".join(held)] if held else out
 
 
 def is_dense(text: str | Column) -> Column:
@@ -44,7 +54,7 @@ def is_dense(text: str | Column) -> Column:
 def text_records(blocks: DataFrame) -> DataFrame:
     """(doc_stem, chunk_id, page, block_order, id, part, text) of the texts: dense ones by lines, others by windows."""
     plain = F.transform(windows("text"), lambda w: w["text"])
-    return blocks.where("text is not null").select("doc_stem", "chunk_id", "page", "block_order", "id", F.posexplode(F.when(is_dense("text"), dense_pieces("text")).otherwise(plain)).alias("part", "text"))
+    return blocks.where("text is not null").select("doc_stem", "chunk_id", "page", "block_order", "id", F.posexplode(F.coalesce(dense_pieces(F.when(is_dense("text"), F.col("text"))), plain)).alias("part", "text"))
 
 
 def budgeted(blocks: DataFrame, budget: int) -> DataFrame:
@@ -289,15 +299,29 @@ def trimmed_rows(rows: str | Column, n: int = 20) -> Column:
 def fragments(headers: str | Column, cells: str | Column, max_chars: int = MAX_CHARS, size: int = WINDOW, step: int = STEP) -> Column:
     """array<array<struct<column, offset, length, text>>> of a row too long for one record: long cells go by windows,
     neighbouring columns together while they fit, and the last short cell before a cut is repeated after it."""
-    cut_cells = F.flatten(F.zip_with(col(headers), col(cells), lambda k, v: F.transform(windows(v, size, step), lambda w: F.struct(k.alias("column"), w["offset"].alias("offset"), F.length(v).alias("length"), w["text"].alias("text")))))
-    weight = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + F.length(x["text"]) + F.length(x["column"]) + 6)
-    kind = "array<array<struct<column:string,offset:int,length:int,text:string>>>"
-
-    def fold(done, x):
-        last = F.coalesce(F.try_element_at(done, F.lit(-1)), F.array().cast(kind[6:-1]))
-        fits = (x["offset"] == 0) & ~F.exists(last, lambda y: y["column"] == x["column"]) & (weight(F.concat(last, F.array(x))) <= max_chars)
-        tail = F.filter(F.slice(last, -1, 1), lambda y: (F.length(y["text"]) < 500) & (F.length(y["text"]) + F.length(x["text"]) + 100 <= max_chars) & (y["column"] != x["column"]))
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.concat(last, F.array(x))))
-        return F.when(F.size(done) == 0, F.array(F.array(x))).when(fits, grown).otherwise(F.concat(done, F.array(F.concat(F.when(F.size(last) > 0, tail).otherwise(last), F.array(x)))))
-
-    return F.aggregate(cut_cells, F.array().cast(kind), fold)
+
+    @F.pandas_udf("array<array<struct<column:string,offset:int,length:int,text:string>>>")
+    def parts(keys: pd.Series, values: pd.Series) -> pd.Series:
+        return pd.Series([column_groups(k, v, max_chars, size, step) for k, v in zip(keys, values)], dtype=object)
+
+    return parts(col(headers), col(cells))
+
+
+def column_groups(keys: list[str], values: list[str], max_chars: int, size: int, step: int) -> list[list[dict]]:
+    """The windows of a row's cells in groups that fit, in one pass."""
+    weight = lambda x: len(x["text"]) + len(x["column"]) + 6
+    groups: list[list[dict]] = []
+    held, names = 0, set()
+    for key, value in zip(keys, values):
+        for at in range(0, max(1, len(value)), step):
+            x = {"column": key, "offset": at, "length": len(value), "text": value[at : at + size]}
+            if groups and at == 0 and key not in names and held + weight(x) <= max_chars:
+                groups[-1].append(x)
+            else:
+                last = groups[-1][-1] if groups else None
+                again = last is not None and len(last["text"]) < 500 and len(last["text"]) + len(x["text"]) + 100 <= max_chars and last["column"] != key
+                groups.append([last, x] if again else [x])
+                held, names = weight(last) if again else 0, {last["column"]} if again else set()
+            held += weight(x)
+            names.add(key)
+    return groups

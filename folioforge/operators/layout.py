@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,18 +133,31 @@ def markdown_blocks(text: str | Column) -> Column:
 
     Lines of one kind that follow each other without a blank line are one table or one paragraph; headings and list items
     stand alone."""
-    lines = F.split(plain_lines(text), "\n")
-    kind = lambda x: F.when(F.trim(x) == "", "blank").when(x.rlike(r"^\s*#"), "heading").when(x.rlike(r"^\s*\|"), "table").when(x.rlike(r"^\s*([-*+]|\d+\.)\s"), "list").otherwise("paragraph")
-    typed = F.transform(lines, lambda x: F.struct(kind(x).alias("kind"), F.trim(x).alias("text")))
-
-    def fold(done, x):
-        last = F.try_element_at(done, F.lit(-1))
-        joins = (last["kind"] == x["kind"]) & x["kind"].isin("table", "paragraph")
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(x["kind"].alias("kind"), F.concat(last["text"], F.lit("\n"), x["text"]).alias("text"))))
-        return F.when(F.coalesce(joins, F.lit(False)), grown).otherwise(F.concat(done, F.array(x)))
-
-    start = F.array().cast("array<struct<kind:string,text:string>>")
-    return F.filter(F.aggregate(typed, start, fold), lambda x: x["kind"] != "blank")
+
+
+    @F.pandas_udf("array<struct<kind:string,text:string>>")
+    def read(texts: pd.Series) -> pd.Series:
+        return pd.Series([markdown_parts(t) for t in texts], dtype=object)
+
+    return read(plain_lines(text))
+
+
+_KINDS = (("heading", re.compile(r"\s*#", re.A)), ("table", re.compile(r"\s*\|", re.A)), ("list", re.compile(r"\s*(?:[-*+]|\d+\.)\s", re.A)))
+
+
+def markdown_parts(text: str) -> list[tuple[str, str]]:
+    """(kind, text) of the parts of a text, in one pass over its lines."""
+    out: list[tuple[str, list[str]]] = []
+    open_ = None
+    for line in text.split("\n"):
+        body = line.strip(" ")
+        kind = next((k for k, p in _KINDS if p.match(line)), "paragraph") if body else None
+        if kind and kind == open_ and kind in ("table", "paragraph"):
+            out[-1][1].append(body)
+        elif kind:
+            out.append((kind, [body]))
+        open_ = kind
+    return [(kind, "\n".join(lines)) for kind, lines in out]
 
 
 def zipped_lines(texts: str | Column, boxes: str | Column, scores: str | Column) -> Column:

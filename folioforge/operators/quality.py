@@ -108,6 +108,90 @@ def missing_codes(found: DataFrame, p: DataFrame) -> DataFrame:
     return found.select("doc_stem", F.upper("code").alias("code")).distinct().join(known, ["doc_stem", "code"], "left_anti")
 
 
+# Words of headings that name nothing, headers of names and of prices in table rows.
+HEADING_WORDS = ("the", "of", "for", "and", "page", "section", "overview")
+ROW_NAMES, ROW_PRICES = ("description", "product name", "name"), ("price", "list price", "usd", "eur", "gbp", "$", "€", "£")
+MODEL_WORDS = r"(?i)model\s*(?:number|no\.?|#)?\s*[:=]?\s*([^\s,;()\[\]]+)"
+
+
+def heading_terms(c: Column) -> Column:
+    """Words of a name, without a plural s and words that name nothing."""
+    words = F.regexp_extract_all(F.lower(c), F.lit(r"(?U)(\w+)"), F.lit(1))
+    return F.filter(F.transform(words, lambda w: F.when(F.length(w) > 3, F.regexp_replace(w, "s+$", "")).otherwise(w)), lambda w: ~w.isin(*HEADING_WORDS))
+
+
+def _chunk(c: str = "chunk_id") -> Column:
+    return F.regexp_replace(c, "__part[0-9]+$", "")
+
+
+def concrete_names(rows: DataFrame) -> DataFrame:
+    """(doc_stem, _chunk, _name): names that stand in a table row of the chunk beside a price."""
+    pairs = rows.select("doc_stem", _chunk().alias("_chunk"), F.zip_with("headers", "cells", lambda k, v: F.struct(F.lower(F.trim(k)).alias("k"), v.alias("v"))).alias("_r"))
+    priced = pairs.where(F.exists("_r", lambda c: c["k"].isin(*ROW_PRICES) & c["v"].rlike(r"\d")))
+    return priced.select("doc_stem", "_chunk", F.explode(F.filter("_r", lambda c: c["k"].isin(*ROW_NAMES))).alias("c")).select("doc_stem", "_chunk", F.lower("c.v").alias("_name")).distinct()
+
+
+def unsupported_items(p: DataFrame, rows: DataFrame) -> DataFrame:
+    """Products without code and model that no priced row of their chunk names: HEADING_AS_PRODUCT where all words of the
+    name stand in one heading of the section path, else UNSUPPORTED_SELLABLE_ITEM.
+
+    p: products with section_path; rows: table rows with chunk_id."""
+    bare = p.where(blank("sku") & blank("model")).withColumn("_chunk", _chunk()).withColumn("_name", F.lower("name")).join(concrete_names(rows), ["doc_stem", "_chunk", "_name"], "left_anti")
+    terms = heading_terms(F.coalesce("name", F.lit("")))
+    bare = bare.withColumn("_t", terms)
+    heading = F.coalesce((F.size("_t") > 0) & F.exists("section_path", lambda h: F.size(F.array_except("_t", heading_terms(h))) == 0), F.lit(False))
+    return bare.select(F.when(heading, "HEADING_AS_PRODUCT").otherwise("UNSUPPORTED_SELLABLE_ITEM").alias("rule"), F.lit("error").alias("severity"), "doc_stem", F.col("product_id").alias("record_id"))
+
+
+def unconfirmed_models(p: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Products whose model is their code, which neither a model column nor the words 'model X' in their chunk confirm."""
+    same = p.where(~blank("sku") & (strip("model") == strip("sku"))).withColumn("_chunk", _chunk()).withColumn("_m", strip("model"))
+    cells = rows.select("doc_stem", _chunk().alias("_chunk"), F.explode(F.filter(F.zip_with("headers", "cells", lambda k, v: F.struct(k.alias("k"), v.alias("v"))), lambda c: F.lower(F.trim(c["k"])) == "model")).alias("c")).select("doc_stem", "_chunk", strip("c.v").alias("_m"))
+    said = texts.where("text is not null and chunk_id is not null").select("doc_stem", _chunk().alias("_chunk"), F.explode(F.regexp_extract_all("text", F.lit(MODEL_WORDS), F.lit(1))).alias("_m"))
+    said = said.select("doc_stem", "_chunk", F.regexp_replace("_m", r"(?U)[^\w]+$", "").alias("_m"))
+    return _issue(same.join(cells.unionByName(said).distinct(), ["doc_stem", "_chunk", "_m"], "left_anti"), "SKU_IS_NOT_A_CONFIRMED_MODEL", "info", F.lit(True), "product_id")
+
+
+def without_models(p: DataFrame, issues: DataFrame) -> DataFrame:
+    """Products with the model set to null where an issue says that it is a material or no confirmed model."""
+    bad = issues.where(F.col("rule").isin("MATERIAL_IS_NOT_MODEL", "SKU_IS_NOT_A_CONFIRMED_MODEL")).select(F.col("record_id").alias("product_id"), F.lit(True).alias("_bad")).distinct()
+    return p.join(bad, "product_id", "left").withColumn("model", F.when(F.col("_bad").isNull(), F.col("model"))).drop("_bad")
+
+
+def without_unsupported(p: DataFrame, a: DataFrame, issues: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(products, attributes) without the products of unsupported_items and the attributes of their chunk that are called
+    like them, unless a product that stays bears the name or code."""
+    bad = issues.where(F.col("rule").isin("HEADING_AS_PRODUCT", "UNSUPPORTED_SELLABLE_ITEM")).select(F.col("record_id").alias("product_id")).distinct()
+    kept, gone = p.join(bad, "product_id", "left_anti"), p.join(bad, "product_id", "left_semi")
+    names = kept.select("doc_stem", "chunk_id", F.explode(F.array("name", "sku")).alias("entity")).where("entity is not null").distinct()
+    lost = gone.select("doc_stem", "chunk_id", F.col("name").alias("entity")).distinct().join(names, ["doc_stem", "chunk_id", "entity"], "left_anti")
+    return kept, a.join(lost, ["doc_stem", "chunk_id", "entity"], "left_anti")
+
+
+def ignored_notes(p: DataFrame, issues: DataFrame) -> DataFrame:
+    """(rule, severity, doc_stem, chunk_id, name): notes on the products that were taken out, one for each name of a chunk."""
+    bad = issues.where(F.col("rule").isin("HEADING_AS_PRODUCT", "UNSUPPORTED_SELLABLE_ITEM"))
+    met = bad.select("rule", F.col("record_id").alias("product_id")).join(p.select("product_id", "doc_stem", "chunk_id", "name").distinct(), "product_id")
+    any_item = F.bool_or(F.col("rule") == "UNSUPPORTED_SELLABLE_ITEM")
+    return met.groupBy("doc_stem", "chunk_id", "name").agg(F.when(any_item, "UNSUPPORTED_ITEM_IGNORED").otherwise("HEADING_FAMILY_IGNORED").alias("rule")).select("rule", F.lit("info").alias("severity"), "doc_stem", "chunk_id", "name")
+
+
+def structure_issues(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """CATALOG_STRUCTURE: nodes without type, identifier or title, identifiers that are not unique, links from a node to one
+    of its own or a higher level (models may stand under any category), and amounts that are negative or not finite.
+
+    nodes: doc_stem, identifier, level (1 category, 2 model, 3 item, 4 price), title, amount; edges: doc_stem, parent, child."""
+    holes = nodes.where(F.col("level").isNull() | blank("identifier") | blank("title"))
+    twice = nodes.groupBy("doc_stem", "identifier").count().where("count > 1 and identifier is not null")
+    amounts = nodes.where(F.col("amount").isNotNull() & ~((F.col("amount") >= 0) & (F.col("amount") < float("inf"))))
+    level = nodes.select("doc_stem", "identifier", "level").distinct()
+    up = edges.join(level.select("doc_stem", F.col("identifier").alias("parent"), F.col("level").alias("_up")), ["doc_stem", "parent"], "left")
+    both = up.join(level.select("doc_stem", F.col("identifier").alias("child"), F.col("level").alias("_down")), ["doc_stem", "child"], "left")
+    wrong = both.where(F.col("_up").isNull() | F.col("_down").isNull() | ((F.col("_up") >= F.col("_down")) & ~((F.col("_up") == 1) & (F.col("_down") == 1))))
+    found = [(holes, "identifier"), (twice, "identifier"), (amounts, "identifier"), (wrong, "child")]
+    return _all([df.select(F.lit("CATALOG_STRUCTURE").alias("rule"), F.lit("error").alias("severity"), "doc_stem", F.col(key).alias("record_id")) for df, key in found])
+
+
 def report(issues: DataFrame) -> DataFrame:
     return issues.groupBy("rule", "severity").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_stem").alias("documents"))
 

@@ -22,6 +22,20 @@ BAND_HEADER = r"(?:\d+(?:-\d+)?\+?\s+)?(?:list\s+)?price(?:\s+each)?(?:\s+\d+(?:
 CURRENCY_HEADERS = ("$", "€", "£", "¥", "￥", "RMB", "CNY", "USD", "EUR", "GBP", "JPY", "INR")
 NO_CODES = ("n/a", "none", "na", "new", "see", "call", "contact", "each")
 CODE = r"[A-Za-z0-9][A-Za-z0-9./_ -]*"
+# Codes that slip into other columns, the mark of a new row, headings that name a model, codes and prices run
+# together in a cell, headers of descriptions, models and prices, and the currencies of headers and prefixes.
+DISPLACED_CODE = r"^[A-Z]{2,6}\d{2,6}(?:/[A-Z0-9]{1,4})?$"
+BADGE, BADGE_SIGNS, BADGE_CELLS = "NEW", ("$", "€", "£"), 4
+HEADING_MODEL = r"(?i)^model\s*(?:(?:number|no\.?|#)\s*)?[:=]?\s+([A-Za-z0-9][A-Za-z0-9./_-]*)$"
+INLINE_CODE = r"\d{4,5}[A-Z]\d{2,5}"
+INLINE_PRICE = r"^\s*([$€£])?\s*(\d+(?:,\d{3})*\.\d{2})\s*$"
+NAME_HEADERS, MODEL_HEADERS = ("description", "product name"), ("model",)
+PRICE_HEADERS = {"usd": "USD", "eur": "EUR", "€": "EUR", "gbp": "GBP", "£": "GBP", "rmb": "CNY", "cny": "CNY", "jpy": "JPY", "inr": "INR", "aud": "AUD", "$": None, "¥": None, "price": None, "list price": None}
+PRICE_PREFIX = r"(?i)^(USD|EUR|GBP|JPY|CNY|INR|AUD)\b"
+SIGN_CURRENCIES = {"$": "USD", "€": "EUR", "£": "GBP"}
+#: Cells that look like article codes, and the share of a column's cells that must, in tables that name no code column.
+CELL_PRICE = r"^([$€£])\s*((?:\d{1,3}(?:,\d{3})+|\d+)\.\d{2})$"
+CONTENT_CODE, CONTENT_SHARE = r"^[A-Za-z]{2,6}[0-9]{3,}[A-Za-z0-9]*$", 0.6
 
 
 def markdown_rows(text: str | Column) -> Column:
@@ -260,8 +274,8 @@ def realigned(headers: str | Column, cells: str | Column) -> Column:
     k, v = col(headers), col(cells)
     at = lambda a, i: F.trim(F.coalesce(F.get(a, F.lit(i)), F.lit("")))
     shifted = (
-        (F.size(k) >= 4) & at(k, 0).rlike(f"(?i)^{CODE_HEADER}$") & (F.upper(at(v, 0)) == "NEW") & at(k, 1).isin("$", "€", "£")
-        & at(v, 1).rlike(r"^[A-Z]{2,6}\d{2,6}(?:/[A-Z0-9]{1,4})?$") & at(v, 2).startswith(at(k, 1))
+        (F.size(k) >= BADGE_CELLS) & at(k, 0).rlike(f"(?i)^{CODE_HEADER}$") & (F.upper(at(v, 0)) == BADGE) & at(k, 1).isin(*BADGE_SIGNS)
+        & at(v, 1).rlike(DISPLACED_CODE) & at(v, 2).startswith(at(k, 1))
     )
     less = F.greatest(F.size(k) - 1, F.lit(0))
     return F.when(shifted, _pairs(F.slice(k, F.lit(1), less), F.slice(v, F.lit(2), less))).otherwise(_pairs(k, v))
@@ -287,25 +301,64 @@ def spilled_codes(headers: str | Column, cells: str | Column) -> Column:
     """Codes displaced into anonymous columns that share the letters of a code of the row."""
     codes = row_codes(headers, cells)
     letters = F.filter(F.transform(codes, lambda c: F.regexp_extract(c, "^[A-Z]+", 0)), lambda p: p != "")
-    loose = F.filter(_pairs(col(headers), col(cells)), lambda c: c["k"].rlike(r"^col_\d+$") & F.trim(c["v"]).rlike(r"^[A-Z]{2,6}\d{2,6}(?:/[A-Z0-9]{1,4})?$"))
+    loose = F.filter(_pairs(col(headers), col(cells)), lambda c: c["k"].rlike(r"^col_\d+$") & F.trim(c["v"]).rlike(DISPLACED_CODE))
     values = F.filter(F.transform(loose, lambda c: F.trim(c["v"])), lambda v: F.array_contains(letters, F.regexp_extract(v, "^[A-Z]+", 0)))
     return F.array_except(F.array_distinct(values), codes)
 
 
 def heading_model(path: str | Column) -> Column:
     """The code of the innermost heading of the form 'Model No. X'."""
-    pattern = r"(?i)^model\s*(?:(?:number|no\.?|#)\s*)?[:=]?\s+([A-Za-z0-9][A-Za-z0-9./_-]*)$"
-    hits = F.filter(F.transform(F.reverse(col(path)), lambda h: F.regexp_extract(F.trim(h), pattern, 1)), lambda m: m != "")
+    hits = F.filter(F.transform(F.reverse(col(path)), lambda h: F.regexp_extract(F.trim(h), HEADING_MODEL, 1)), lambda m: m != "")
     return F.get(hits, F.lit(0))
 
 
-def code_amounts(text: str | Column, code: str = r"\d{4,5}[A-Z]\d{2,5}", within: int = 120, sign: str = "") -> Column:
-    """array<struct<code, amount>>: codes followed by an amount before the next code and within so many characters.
-
-    sign: a pattern that must stand before the amount. The text is cut before each code, so no offsets are needed."""
+def inline_pairs(headers: str | Column, cells: str | Column, code: str = INLINE_CODE) -> Column:
+    """array<struct<code, amount, currency>>: codes run together with their prices in a cell, or followed by a cell that
+    holds nothing but the price. In rows with code columns only those are searched. Other places prove nothing."""
+    row = realigned(headers, cells)
+    own = F.filter(row, lambda c: F.trim(c["k"]).rlike(f"(?i)^{CODE_HEADER}$"))
+    values = F.transform(F.when(F.size(own) > 0, own).otherwise(row), lambda c: F.coalesce(c["v"], F.lit("")))
     head = rf"(?<![A-Za-z0-9])(?={code}(?![A-Za-z0-9]))"
-    pieces = F.split(col(text), head)
-    amount = rf"(?<![\d.]){sign}(\d{{1,5}}(?:,\d{{3}})*\.\d{{2}})(?![\d.])"
-    found = F.transform(pieces, lambda p: F.struct(F.regexp_extract(p, rf"^({code})(?![A-Za-z0-9])", 1).alias("code"), p.alias("p")))
-    pairs = F.transform(found, lambda s: F.struct(s["code"].alias("code"), F.regexp_extract(F.substr(s["p"], F.length(s["code"]) + 1, F.lit(within)), amount, 1).alias("amount")))
-    return F.array_distinct(F.filter(pairs, lambda s: (s["code"] != "") & (s["amount"] != "")))
+
+    def of_cell(value: Column, after: Column) -> Column:
+        pieces = F.split(value, head)
+        found = F.transform(pieces, lambda p, i: F.struct(F.regexp_extract(p, f"^({code})", 1).alias("code"), F.trim(F.regexp_replace(p, f"^{code}", "")).alias("rest"), (i + 1 == F.size(pieces)).alias("last")))
+        priced = F.transform(found, lambda x: F.struct(x["code"].alias("code"), F.when((x["rest"] == "") & x["last"], after).otherwise(x["rest"]).alias("price")))
+        return F.filter(priced, lambda x: (x["code"] != "") & x["price"].rlike(INLINE_PRICE))
+
+    pairs = F.flatten(F.transform(values, lambda v, i: of_cell(v, F.trim(F.coalesce(F.get(values, i + 1), F.lit(""))))))
+    signs = F.create_map(*[F.lit(x) for pair in SIGN_CURRENCIES.items() for x in pair])
+    return F.array_distinct(F.transform(pairs, lambda x: F.struct(x["code"].alias("code"), F.regexp_extract(x["price"], INLINE_PRICE, 2).alias("amount"), F.try_element_at(signs, F.regexp_extract(x["price"], INLINE_PRICE, 1)).alias("currency"))))
+
+
+def content_codes(rows: DataFrame) -> DataFrame:
+    """(doc_stem, id, row_no, code) of tables that name no code column: cells of the columns most of whose cells look like
+    codes. A table without printed headers may begin with such a row; its headers are then row -1. Columns are counted by
+    an aggregation, so a table of any length is spread over tasks."""
+    named = F.exists("headers", lambda h: F.trim(h).rlike(f"(?i)^{CODE_HEADER}$"))
+    plain = rows.where(~named & (F.col("method") != "raw"))
+    cells = plain.select("doc_stem", "id", "row_no", F.posexplode("cells").alias("_at", "_v"))
+    heads = plain.groupBy("doc_stem", "id").agg(F.min("headers").alias("_h")).select("doc_stem", "id", F.lit(-1).alias("row_no"), F.posexplode("_h").alias("_at", "_v"))
+    codes = cells.unionByName(heads).withColumn("_v", F.trim("_v")).withColumn("_like", F.col("_v").rlike(CONTENT_CODE))
+    columns = codes.where("row_no >= 0").groupBy("doc_stem", "id", "_at").agg(F.avg(F.col("_like").cast("double")).alias("_share")).where(F.col("_share") >= CONTENT_SHARE).drop("_share")
+    return codes.where("_like").join(columns, ["doc_stem", "id", "_at"], "left_semi").select("doc_stem", "id", "row_no", F.col("_v").alias("code"))
+
+
+def named_codes(rows: DataFrame) -> DataFrame:
+    """(doc_stem, id, row_no, code) of code columns, with variants and displaced codes."""
+    codes = F.array_union(row_codes("headers", "cells"), spilled_codes("headers", "cells"))
+    return rows.select("doc_stem", "id", "row_no", F.explode(codes).alias("code"))
+
+
+def table_codes(rows: DataFrame) -> DataFrame:
+    """(doc_stem, id, row_no, code): the codes of all table rows, by the names of columns or else by what stands in them."""
+    return named_codes(rows).unionByName(content_codes(rows)).distinct()
+
+
+def content_prices(rows: DataFrame) -> DataFrame:
+    """(doc_stem, id, row_no, code, amount, currency): the price of each coded row that holds just one cell with a price."""
+    signs = F.create_map(*[F.lit(x) for pair in SIGN_CURRENCIES.items() for x in pair])
+    prices = F.filter(F.transform("cells", lambda v: F.trim(v)), lambda v: v.rlike(CELL_PRICE))
+    one = rows.select("doc_stem", "id", "row_no", prices.alias("_p")).where(F.size("_p") == 1).withColumn("_p", F.col("_p")[0])
+    priced = one.select("doc_stem", "id", "row_no", F.replace(F.regexp_extract("_p", CELL_PRICE, 2), F.lit(","), F.lit("")).alias("amount"), F.try_element_at(signs, F.regexp_extract("_p", CELL_PRICE, 1)).alias("currency"))
+    return table_codes(rows).join(priced, ["doc_stem", "id", "row_no"])

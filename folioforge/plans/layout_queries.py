@@ -227,6 +227,11 @@ def oracle_sql():
   o as (select *, case when ty = 'heading' then id when above = 'heading' then parent when above = 'product_card' and top = 'heading' and ty in ('specification', 'table', 'paragraph') then grand when parent is null and ty in ('table', 'specification', 'product_card') then id end own from a),
   c as (select doc_stem, id, row_number() over (partition by doc_stem order by so) chunk_no, case when ty = 'heading' then coalesce(array_to_string(titles, ' > '), '') else '(unlabelled)' end section_path from o where own = id)
   select o.doc_stem, o.id, c.chunk_no, c.section_path from o join c on c.doc_stem = o.doc_stem and c.id = o.own""",
+        "q47_markdown_blocks": rf"""with {BLOCKS}, x as (select doc_stem, id, string_split({sql_lines('text')}, chr(10)) ls from blocks), y as (select doc_stem, id, unnest(ls) line, generate_subscripts(ls, 1) n from x),
+  k as (select doc_stem, id, n, trim(line) t, case when trim(line) = '' then 'blank' when regexp_matches(line, '^\s*#') then 'heading' when regexp_matches(line, '^\s*\|') then 'table' when regexp_matches(line, '^\s*([-*+]|\d+\.)\s') then 'list' else 'paragraph' end kind from y),
+  g as (select *, coalesce(lag(kind) over w = kind and kind in ('table', 'paragraph'), false) joined from k window w as (partition by doc_stem, id order by n)),
+  s as (select *, sum((not joined)::int) over (partition by doc_stem, id order by n) part from g), p as (select doc_stem, id, kind, part, string_agg(t, chr(10) order by n) t from s where kind <> 'blank' group by 1, 2, 3, 4)
+  select doc_stem, id, kind, count(*) n, sum(length(t))::bigint chars from p group by 1, 2, 3""",
         "q48_box_geometry": f"""with {BLOCKS}, o as (select *, row_number() over (partition by doc_stem, page order by block_order nulls first, coalesce(bbox[2], 1e9), coalesce(bbox[1], 1e9), id) place from blocks),
   a as (select *, lag({{'b': bbox}}) over (partition by doc_stem, page order by place) ab from o where bbox is not null)
   select doc_stem, id, round(greatest(0, bbox[3] - bbox[1]), 6) width, round(greatest(0, bbox[4] - bbox[2]), 6) height, round((bbox[1] + bbox[3]) / 2, 6) centre, round(bbox[2] - ab.b[4], 6) gap, case when ab is not null then round({_OVER.format('ab.b', 'bbox')}, 6) end overlap from a""",

@@ -32,8 +32,10 @@ def q_rollup(spark, sf_dir):
 
 
 def q_value_unit(spark, sf_dir):
-    v = tx.value_unit("value")
-    return attributes(spark, sf_dir).select("attr_id", F.round(v["value"], 9).alias("number"), v["unit"].alias("canonical")).where("canonical is not null")
+    a = once(spark, sf_dir, "retry_attributes", "attr_id", "value")
+    # a generator evaluates the reading once, a filter on its result would evaluate it again
+    found = F.filter(F.array(tx.value_unit("value")), lambda m: m["unit"].isNotNull())
+    return a.select("attr_id", F.explode(found).alias("m")).select("attr_id", F.round("m.value", 9).alias("number"), F.col("m.unit").alias("canonical"))
 
 
 def q_clean(spark, sf_dir):

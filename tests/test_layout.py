@@ -85,7 +85,7 @@ def test_page_roles(spark):
 
 def test_dynamic_levels(spark):
     wide, narrow = [0.0, 0.0, 100.0, 10.0], [0.0, 60.0, 50.0, 70.0]
-    rows = [block("d", "a", 1, "heading", "paragraph_title", "Ball Valves", wide, 0, 2), block("d", "b", 1, "heading", "paragraph_title", "Valves", narrow, 1, 2), block("d", "c", 1, "heading", "paragraph_title", "Features", None, 2, 2), block("d", "e", 1, "heading", "paragraph_title", "Features", None, 3, 2), block("d", "f", 2, "paragraph", "text", "x", None, 0), block("d", "g", 2, "heading", "paragraph_title", "Pipes", wide, 1, 2)]
+    rows = [block("d", "a", 1, "heading", "paragraph_title", "Ball Valves", wide, 0, 2), block("d", "b", 1, "heading", "paragraph_title", "Valves", narrow, 1, 2), block("d", "c", 1, "heading", "paragraph_title", "Features", None, 2, 2), block("d", "e", 1, "heading", "paragraph_title", "Features", None, 3, 2), block("d", "z", 1, "paragraph", "text", "x" * 600, None, 4), block("d", "f", 2, "paragraph", "text", "x", None, 0), block("d", "g", 2, "heading", "paragraph_title", "Pipes", wide, 1, 2)]
     b = spark.createDataFrame(rows, BLOCK)
     out = {r["id"]: r for r in O.dynamic_sections(b).collect()}
     assert [out[k]["level"] for k in "abceg"] == [2, 3, 4, 4, 2]

@@ -47,10 +47,22 @@ def test_row_codes(spark):
     assert model == "X-1"
 
 
-def test_code_amounts(spark):
-    got = lambda v: [(r["code"], r["amount"]) for r in one(spark, v, T.code_amounts("x"))]
-    assert got("1456N251 .. $3.85 1456N252 none 1456N253 12.50") == [("1456N251", "3.85"), ("1456N253", "12.50")]
-    assert got("X1456N251 3.85") == [] and got("1456N251 " + "x" * 130 + " 3.85") == [] and got("") == []
+def test_inline_pairs(spark):
+    got = lambda h, c: [tuple(r) for r in codes(spark, h, c, T.inline_pairs)]
+    assert got(["a", "b"], ["1456N251 $3.85 1456N252 none 1456N253 12.50", "x"]) == [("1456N251", "3.85", "USD"), ("1456N253", "12.50", None)]
+    assert got(["a", "b", "c"], ["1456N251", "€ 1,003.85", "1456N252"]) == [("1456N251", "1,003.85", "EUR")]
+    assert got(["a", "b"], ["1456N251", "each 3.85"]) == [] and got(["a", "b"], ["X1456N251 3.85", None]) == []
+    # another column's code is the maker's where there is a code column
+    assert got(["SKU", "Mfr"], ["1456N251 3.85", "1456N299 4.85"]) == [("1456N251", "3.85", None)]
+
+
+def test_codes_by_content(spark):
+    rows = [("d", "t", "markdown", n, ["dox87201j", "214 mm", "$ 334.81"], c) for n, c in enumerate([["cuv85123e", "122.1 mm", "$ 85.71"], ["xen64094m", "M8", "-"], ["see page", "1", "€ 1,000.00"]])]
+    rows += [("d", "named", "html", 0, ["SKU", "x"], ["AB12", "cuv85123e"]), ("d", "raw", "raw", 0, ["raw_text"], ["cuv85123e"])]
+    frame = spark.createDataFrame(rows, "doc_stem string, id string, method string, row_no int, headers array<string>, cells array<string>")
+    assert {tuple(r)[1:] for r in T.table_codes(frame).collect()} == {("t", -1, "dox87201j"), ("t", 0, "cuv85123e"), ("t", 1, "xen64094m"), ("named", 0, "AB12")}
+    assert {tuple(r)[1:] for r in T.content_prices(frame).collect()} == {("t", 0, "cuv85123e", "85.71", "USD")}
+    assert T.table_codes(frame.where("false")).count() == 0
 
 
 def test_windows_and_pieces(spark):
