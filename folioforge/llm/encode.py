@@ -1,9 +1,11 @@
 """Encoding of a corpus with a public byte-level BPE vocabulary, as a streaming transducer.
 
-Text goes through in windows. A pre-token is closed once the pattern cannot extend it; closed short ones are looked up in
-a bounded memo. A pre-token of any length is encoded byte by byte: the encoding of a prefix ends in exactly one token that
-is compatible with the one before it, so each position needs one back pointer, and only the last `lookahead` positions can
-still be continued. Where all their paths agree, tokens are stable and are given out; memory stays constant.
+Text goes through in windows. A pre-token is closed once the pattern cannot extend it; one of the vocabulary is its own
+token, every other one, of any length, is encoded byte by byte: the encoding of a prefix ends in exactly one token that is
+compatible with the one before it, so each position needs one back pointer. Which positions can still be continued follows
+from the merges: those from which the text so far begins a token that merges can make, never farther back than the longest
+of these. Where all their paths agree, tokens are stable and are given out; memory stays constant. A bounded memo keeps
+the ids of short pre-tokens.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 import base64
 import codecs
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pandas as pd
 import regex
@@ -24,9 +26,10 @@ from folioforge.runtime import table
 #: Default vocabulary; another file of the same format can be named instead. Files are read where they lie.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 WINDOW = 1 << 14
-#: Pre-tokens above this many characters are streamed; the memo holds none of them.
-LONG = 256
-MEMO = 400_000
+#: Entries of the memo, and the longest pre-tokens it holds; longer ones are encoded each time.
+MEMO, MEMO_LENGTH = 400_000, 256
+#: Bytes of a pre-token after which its stable tokens are given out.
+SETTLE = 512
 
 # Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -45,17 +48,14 @@ class Vocabulary:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = {v: k for k, v in self.ranks.items()}
-        #: Sufficient lookahead in bytes: no token is longer, so no later byte can reach further back.
-        self.lookahead = max(map(len, self.ranks))
+        self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(PATTERN)
         self.memo: dict[str, tuple[int, ...]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.endings: dict[bytes, list[bytes]] = {}
+        self.made: dict[int, bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Merges the pair of lowest rank, the leftmost first, until none is left."""
-        if data in self.ranks:
-            return [self.ranks[data]]
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
             best, at = None, -1
@@ -68,6 +68,13 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def reachable(self, token: int) -> bool:
+        """Whether merges make the token of its bytes; others stand for whole pre-tokens only."""
+        known = self.made.get(token)
+        if known is None:
+            known = self.made[token] = self.merge(self.words[token]) == [token]
+        return known
+
     def compatible(self, a: int, b: int) -> bool:
         key = (a, b)
         known = self.fits.get(key)
@@ -77,13 +84,40 @@ class Vocabulary:
             known = self.fits[key] = self.merge(self.words[a] + self.words[b]) == [a, b]
         return known
 
+    @cached_property
+    def lookahead(self) -> int:
+        """Bytes behind a position after which no merge can change what lies before it: one less than the longest token that
+        merges make. Read from the merge list when the first long pre-token comes."""
+        sizes = sorted(self.ranks, key=len, reverse=True)
+        return max(1, next((len(w) for w in sizes if self.reachable(self.ranks[w])), 1) - 1)
+
+    @cached_property
+    def beginnings(self) -> frozenset[bytes]:
+        """Proper beginnings of the tokens."""
+        return frozenset(w[:n] for w in self.ranks for n in range(1, len(w)))
+
+    def word_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of one pre-token."""
+        ids = self.memo.get(word)
+        if ids is None:
+            data = word.encode()
+            whole = self.ranks.get(data)
+            if whole is not None:
+                ids = (whole,)
+            else:
+                prefixes = Prefixes(self)
+                ids = (*prefixes.feed(data), *prefixes.close())
+            if len(self.memo) < MEMO and len(word) <= MEMO_LENGTH:
+                self.memo[word] = ids
+        return ids
+
 
 class Prefixes:
     """Incremental encoding of one pre-token; feed() gives the tokens that became stable."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.tail = b""  # the last lookahead bytes
+        self.tail = b""  # the last bytes, as many as the longest token has
         self.base = 0  # position of the first entry of back
         self.back: list[tuple[int, int]] = [(-1, -1)]  # position -> (token that ends there, position before it)
         self.end = 0
@@ -92,7 +126,7 @@ class Prefixes:
     def feed(self, data: bytes) -> Iterator[int]:
         v = self.v
         for n in range(len(data)):
-            self.tail = (self.tail + data[n : n + 1])[-v.lookahead :]
+            self.tail = (self.tail + data[n : n + 1])[-v.longest :]
             self.end += 1
             found = None
             for length in range(min(len(self.tail), self.end - self.base), 0, -1):
@@ -101,16 +135,18 @@ class Prefixes:
                     continue
                 before = self.end - length
                 previous = self.back[before - self.base][0]
-                if previous == -1 or v.compatible(previous, token):
+                if v.reachable(token) if previous == -1 else previous != -2 and v.compatible(previous, token):
                     found = (token, before)
                     break
             self.back.append(found if found is not None else (-2, self.end))
-            if self.end - self.given >= 4 * v.lookahead and self.end % v.lookahead == 0:
+            if self.end - self.given >= SETTLE and self.end % v.longest == 0:
                 yield from self.settle()
 
     def settle(self) -> Iterator[int]:
         """Gives out what all positions that can still be continued agree on."""
-        live = {p for p in range(max(self.base, self.end - self.v.lookahead + 1), self.end + 1) if self.back[p - self.base][0] != -2}
+        v, end = self.v, self.end
+        first = max(self.base, end - v.lookahead)
+        live = {p for p in range(first, end) if self.back[p - self.base][0] != -2 and self.tail[p - end :] in v.beginnings} | ({end} if self.back[-1][0] != -2 else set())
         while len(live) > 1:
             last = max(live)
             live.remove(last)
@@ -149,19 +185,7 @@ def encode_stream(v: Vocabulary, chunks: Iterable[str]) -> Iterator[int]:
             # a match is closed if the text goes on behind it, past the pattern's lookahead
             if more and m.end() > len(held) - 4:
                 break
-            word = m[0]
-            if len(word) <= LONG:
-                ids = v.memo.get(word)
-                if ids is None:
-                    ids = tuple(v.merge(word.encode()))
-                    if len(v.memo) < MEMO:
-                        v.memo[word] = ids
-                yield from ids
-            else:
-                prefixes = Prefixes(v)
-                for i in range(0, len(word), WINDOW):
-                    yield from prefixes.feed(word[i : i + WINDOW].encode())
-                yield from prefixes.close()
+            yield from v.word_ids(m[0])
             at = m.end()
         if at == 0 and more:
             # one open pre-token fills the window: stream what is certain of it and go on with its kind of characters
@@ -205,17 +229,7 @@ def encode(v: Vocabulary, text: str | None) -> list[int]:
         memo, out = v.memo, []
         for word in v.pattern.findall(text):
             ids = memo.get(word)
-            if ids is not None:
-                out += ids
-            elif len(word) <= LONG:
-                ids = tuple(v.merge(word.encode()))
-                if len(memo) < MEMO:
-                    memo[word] = ids
-                out += ids
-            else:
-                prefixes = Prefixes(v)
-                out += prefixes.feed(word.encode())
-                out += prefixes.close()
+            out += v.word_ids(word) if ids is None else ids
         return out
     return list(encode_stream(v, (text[i : i + WINDOW] for i in range(0, len(text), WINDOW))))
 

@@ -19,8 +19,11 @@ from folioforge.runtime import cut, table
 #: Languages and topics told apart; rarer ones are raked together, none is left out.
 LANGUAGES, TOPICS = 32, 64
 #: Most sources mix_targets may name; it is a register.
-MAX_TARGETS = 10_000
-ROUNDS = 60
+MAX_TARGETS = 1_000
+#: Raking ends when no margin that can be met is off by more than this share, or after so many rounds.
+CLOSE, ROUNDS = 1e-6, 500
+#: Documents of a source and size that one task orders for the draw.
+SLOT_ROWS = 50_000
 SEED = 17
 
 
@@ -75,6 +78,7 @@ def rake(cells: dict[tuple[str, str, str], float], targets: dict[str, tuple[floa
     for k in cells:
         by_source[k[0]].append(k)
     for _ in range(rounds):
+        before = dict(weights)
         for axis, margin in margins:
             now: dict[str, float] = defaultdict(float)
             for k, c in cells.items():
@@ -87,6 +91,8 @@ def rake(cells: dict[tuple[str, str, str], float], targets: dict[str, tuple[floa
             level = water_level(amounts[s], [(weights[k], cells[k]) for k in keys], limit)
             for k in keys:
                 weights[k] = min(limit, weights[k] * level)
+        if all(abs(weights[k] - before[k]) <= CLOSE * max(weights[k], 1e-12) for k in cells):
+            break
     return weights
 
 
@@ -114,23 +120,22 @@ def read_targets(targets: DataFrame) -> dict[str, tuple[float, int]]:
     return {r["source"]: (float(r["s"]), int(r["r"])) for r in rows}
 
 
-def draw(documents: DataFrame, targets: DataFrame, total: float | None = None, seed: int = SEED, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The mixed corpus: doc_id, source, tokens, copies (1 or more, at most the source's max_repeats).
-
-    total is the size aimed at, in tokens; by default that of the texts of all sources with a target. Null and empty texts,
-    null sources and sources without a target contribute nothing; a source whose texts, repeated as often as allowed, do
-    not reach its share gives all of them, and the others share the rest in proportion to their targets. The draw depends
-    on seed and doc_id only, not on partitioning. Repeated texts are documents of their own. Empty tables give no rows.
-    """
+def drawn(documents: DataFrame, targets: DataFrame, total: float | None = None, seed: int = SEED, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+    """(what draw gives, with lang, topic and weight; the cells with their tokens and weights)."""
     spark = documents.sparkSession
     wanted = read_targets(targets)
     docs = cut(sized_documents(documents, targets, vocabulary), "cells")
     cells = {(r["source"], r["lang"], r["topic"]): float(r["t"]) for r in docs.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("t")).collect()}
-    weights = [(*k, w) for k, w in rake(cells, wanted, total).items()]
-    weighted = docs.join(F.broadcast(spark.createDataFrame(weights, "source string, lang string, topic string, weight double")), ["source", "lang", "topic"])
-    # order of the systematic draw: source, size, hash; running sums in two steps, so a large source is spread over tasks
+    weights = [(*k, cells[k], w) for k, w in rake(cells, wanted, total).items()]
+    fitted = spark.createDataFrame(weights, "source string, lang string, topic string, available double, weight double")
+    weighted = docs.join(F.broadcast(fitted.drop("available")), ["source", "lang", "topic"])
+    # order of the systematic draw: source, size, hash; running sums in two steps, so a large source is spread over tasks:
+    # each size class of a source has as many slots as its documents need
     spread = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30))
-    placed = weighted.withColumn("_size", F.floor(F.log2("tokens") * 4).cast("int")).withColumn("_spread", spread).withColumn("_slot", (F.col("_spread") / (1 << 24)).cast("int"))
+    placed = weighted.withColumn("_size", F.floor(F.log2("tokens") * 4).cast("int")).withColumn("_spread", spread)
+    classes = placed.groupBy("source", "_size").agg(F.ceil(F.count(F.lit(1)) / SLOT_ROWS).alias("_slots"))
+    # as many rows as sources and size classes (four a doubling of the size)
+    placed = placed.join(F.broadcast(classes), ["source", "_size"]).withColumn("_slot", F.floor(F.col("_spread") * F.col("_slots") / (1 << 30)).cast("int"))
     slots = placed.groupBy("source", "_size", "_slot").agg(F.sum("weight").alias("_w"))
     over = Window.partitionBy("source").orderBy("_size", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = slots.select("source", "_size", "_slot", F.coalesce(F.sum("_w").over(over), F.lit(0.0)).alias("_before"))
@@ -140,13 +145,50 @@ def draw(documents: DataFrame, targets: DataFrame, total: float | None = None, s
     copies = F.floor(run + start + 1e-9) - F.floor(run - F.col("weight") + start + 1e-9)
     # sums round: no document may slip above its limit by that
     limits = spark.createDataFrame([(s, r) for s, (_, r) in wanted.items()], "source string, _limit int")
-    return (
+    taken = (
         placed.join(slots, ["source", "_size", "_slot"])
         .withColumn("copies", copies.cast("int"))
         .join(F.broadcast(limits), "source")
-        .select("doc_id", "source", "tokens", F.least("copies", "_limit").alias("copies"))
+        .select("doc_id", "source", "lang", "topic", "tokens", F.least("copies", "_limit").alias("copies"))
         .where("copies > 0")
     )
+    return taken, fitted
+
+
+def draw(documents: DataFrame, targets: DataFrame, total: float | None = None, seed: int = SEED, vocabulary: str = VOCABULARY) -> DataFrame:
+    """The mixed corpus: doc_id, source, tokens, copies (1 or more, at most the source's max_repeats).
+
+    total is the size aimed at, in tokens; by default that of the texts of all sources with a target. Null and empty texts,
+    null sources and sources without a target contribute nothing; a source whose texts, repeated as often as allowed, do
+    not reach its share gives all of them, and the others share the rest in proportion to their targets. The draw depends
+    on seed and doc_id only, not on partitioning. Repeated texts are documents of their own. Empty tables give no rows.
+    """
+    taken, _ = drawn(documents, targets, total, seed, vocabulary)
+    return taken.select("doc_id", "source", "tokens", "copies")
+
+
+def mixture_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(axis, value, goal, fitted, actual): for each source, language and topic the share of the mixture's tokens aimed at,
+    that of the raked weights, and that of the drawn documents. Languages and topics aim at their shares of the texts of
+    all sources with a target; where repeats bind, sources go before them."""
+    documents, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")
+    taken, fitted = drawn(documents, targets)
+    named = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("goal"))
+    # cells are as few as sources, languages and topics told apart
+    fitted, taken = cut(fitted, "fitted"), cut(taken.groupBy("source", "lang", "topic").agg(F.sum(F.col("tokens") * F.col("copies")).alias("got")), "got")
+    cells = fitted.join(taken, ["source", "lang", "topic"], "left").na.fill(0, ["got"])
+    whole = cells.agg(F.sum("available").alias("a"), F.sum(F.col("available") * F.col("weight")).alias("f"), F.sum("got").alias("g")).first()
+    share = lambda part: F.lit(0.0) if not whole[part] else F.col(part) / F.lit(float(whole[part]))
+    out = None
+    for axis in ("source", "lang", "topic"):
+        sums = cells.groupBy(F.col(axis).alias("value")).agg(F.sum("available").alias("a"), F.sum(F.col("available") * F.col("weight")).alias("f"), F.sum("got").alias("g"))
+        if axis == "source":
+            sums = sums.join(named.withColumnRenamed("source", "value"), "value", "left")
+        else:
+            sums = sums.withColumn("goal", share("a"))
+        rows = sums.select(F.lit(axis).alias("axis"), "value", "goal", share("f").alias("fitted"), share("g").alias("actual"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

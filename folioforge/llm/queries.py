@@ -15,6 +15,7 @@ def queries():
         "p7_roundtrip": encode.document_round_trip,
         "p8_mixture": mix.mixture,
         "p8_shares": mix.mixture_shares,
+        "p8_margins": mix.mixture_margins,
         "p9_found": sentences.sentence_ends,
         "p9_sentences": sentences.sentence_units,
     }

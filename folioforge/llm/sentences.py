@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,10 @@ from folioforge.runtime import cut, table
 
 #: Bound of the training sample: list items with the smallest hashes, of punctuated and of unpunctuated scripts each.
 TRAINING_ITEMS = 12_000
-EPOCHS = 4
+#: Items shorter or longer than that are no training items (they are split like any other text).
+ITEM_LENGTH = (8, 400)
+#: Times the items are strung together anew, and passes over all that: many different neighbours make the outcome stable.
+ARRANGEMENTS, EPOCHS = 8, 1
 SEED = 11
 #: Learning rate of the weights of neighbouring tags; small, so that the length of sentences seen decides ties only.
 STEP_RATE = 0.1
@@ -40,11 +45,13 @@ SPACE = "\\s​﻿"
 _BREAK = re.compile(rf"(?:\r\n|\r|\n| |\x85|\x0b)[{SPACE}]*?(?:\r\n|\r|\n| |\x85|\x0b)[{SPACE}]*| [{SPACE}]*|\x0c[{SPACE}]*")
 _LINE = re.compile(r"\r\n|\r|\n| |\x85|\x0b")
 _BULLET = re.compile(rf"[{SPACE}]*([-*•‣▪◦●○■□·–—►→✓]|\(?(\d{{1,3}})[.)．、]|\(?([a-zA-Z])[)]|[①-⑳])[{SPACE}]+(?=\S)")
+_LISTED = re.compile(rf"(?:^|[\n\r\x85\x0b\x0c\u2028\u2029]){_BULLET.pattern}")
 _SPEC = re.compile(rf"[{SPACE}]*[^\W\d_][^:：\n]{{0,38}}[:：][{SPACE}]*(?=\S)[^:：。！？]{{1,60}}$")
 _VALUE = re.compile(rf"[{SPACE}]*(?:[≤≥<>~±+\-−]?[{SPACE}]*[\d.,]*\d|\S+(?:[{SPACE}]+\S+){{0,3}}$)")
 _PLACE = re.compile(rf"([{re.escape(ENDS)}]+)((?:[{SPACE}]*[{re.escape(CLOSERS)}])*)")
 _BLANK = re.compile(rf"(?<=[{BLANK_ENDED}\d.)\]”\"])[{SPACE}]+(?=[{BLANK_ENDED}\dA-Za-z(\[“\"])")
 _HAS_BLANK_ENDED = re.compile(f"[{BLANK_ENDED}]")
+_THIN = frozenset("\u200b\ufeff")
 _OPENER = re.compile("[" + re.escape("".join(PAIRS)) + "]")
 _GAP = re.compile(f"[{SPACE}]*")
 _WORD = re.compile(r"\S+$")
@@ -92,36 +99,44 @@ def places(text: str, skip: int = 0) -> list[tuple[int, tuple]]:
     """(end offset, description) of each place in a run of text that could end a sentence; skip: offset to begin at.
 
     The description holds sign, closers, depth of quotation, gap, class of what follows, the word before, what follows."""
-    blank_ended = bool(_HAS_BLANK_ENDED.search(text))
-    marks = _OPENER.search(text)
-    spans = quote_spans(text) if marks else ()
-    opened, closed = sorted(a for a, _ in spans), sorted(b for _, b in spans)
-    shuts = frozenset(closed)
+    blank_ended = not text.isascii() and bool(_HAS_BLANK_ENDED.search(text))
+    found = _PLACE.finditer(text, skip)
+    first = next(found, None)
+    if first is None and not blank_ended:
+        return []
+    spans = quote_spans(text) if _OPENER.search(text) else ()
+    opened, closed = ([a for a, _ in spans], [b for _, b in spans]) if spans else ((), ())
+    if len(spans) > 1:
+        opened.sort()
+        closed.sort()
+    shuts, length = frozenset(closed), len(text)
     out = []
-    for m in _PLACE.finditer(text, skip):
-        end = m.end()
-        if m[2]:
+    for m in chain((first,), found) if first is not None else ():
+        start, inner = m.span(1)
+        end = inner
+        if m.end() != inner:
             # closers must close something that is open here, else they open the next quotation
-            inner, shut = m.end(1), m.end(1)
-            for i in range(inner, end):
+            for i in range(inner, m.end()):
                 if text[i] in CLOSERS:
                     if i in shuts:
-                        shut = i + 1
+                        end = i + 1
                     else:
                         break
-            end = shut
-        on = _GAP.match(text, end).end()
-        if on == len(text):
+        on = end
+        if on < length and (text[on].isspace() or text[on] in _THIN):
+            on = _GAP.match(text, end).end()
+        if on == length:
             continue
-        gap, n = on - end, text[on]
-        before = text[m.start() - 1] if m.start() else ""
-        if not gap and end == m.end(1) and m[1][-1] == "." and len(m[1]) == 1 and not (before.islower() and (n.isupper() or n in PAIRS)):
+        gap, n, signs = on - end, text[on], m[1]
+        before = text[start - 1] if start else ""
+        if not gap and end == m.end() and signs == "." and not (before.islower() and (n.isupper() or n in PAIRS)):
             continue
-        depth = max(0, bisect_left(opened, m.start()) - bisect_left(closed, end))
-        w = _WORD.search(text, max(0, m.start() - 24), m.start())
+        depth = max(0, bisect_left(opened, start) - bisect_left(closed, end)) if spans else 0
+        w = "" if not start or before.isspace() else text[max(0, start - 24) : start].split()[-1]
         x = _NEXT.match(text, on)
-        sep = "0" if not gap else "n" if _LINE.search(text, end, on) else "1" if gap == 1 else "2"
-        out.append((end, (m[1][-1] if len(m[1]) == 1 else m[1][:3], text[m.end(1) : end].replace(" ", ""), depth, sep, "U" if _CAMEL.match(text, on) else char_class(n), (w[0] if w else "").casefold()[-14:], (x[0] if x else "").casefold()[:8], before)))
+        sep = "0" if not gap else "1" if gap == 1 and n != "\n" and text[end] == " " else "n" if _LINE.search(text, end, on) else "1" if gap == 1 else "2"
+        kind = "U" if n.islower() and _CAMEL.match(text, on) else char_class(n)
+        out.append((end, (signs[-1] if len(signs) == 1 else signs[:3], text[inner:end].replace(" ", ""), depth, sep, kind, w.casefold()[-14:], (x[0] if x else "").casefold()[:8], before)))
     if blank_ended:
         for m in _BLANK.finditer(text, skip):
             around = text[max(0, m.start() - 6) : m.start()] + text[m.end() : m.end() + 6]
@@ -159,7 +174,7 @@ def features(d: tuple) -> list[str]:
 PRIOR = {
     **{f"s|{s}|o": 1.5 for s in "。！？．｡।॥؟۔!?"}, "s|.|o": 0.5, "s|…|o": -0.5, "s|...|o": -0.5, "s|……|o": -1.5, **{f"s|{s}|q": -4.0 for s in ENDS}, "b|o": -1.0, "b|q": -3.0,
     "n|.|U|o": 1.5, "n|.|L|o": -4.0, "n|!|L|o": -3.0, "n|?|L|o": -3.0, "n|.|P|o": -2.0, "n|!|P|o": -1.0, "n|?|P|o": -1.0, "n|.|D|o": -0.5, "n|.|O|o": 1.0, "n|…|L|o": -2.0, "n|...|L|o": -2.0,
-    "k|.|1|U": -2.0, "k|.|1|D": -2.0, "h|.|p|U": -1.0, "h|.|d|L": -2.0, "h|.|d|U": -0.5, "z|。|」|と": -6.0, "cq|」|o": 2.5, "c|。|”|H": 2.0, "c|！|”|H": 2.0, "z|。|”|字": -6.0,
+    "k|.|1|U": -2.0, "k|.|1|D": -2.0, "h|.|p|U": -1.0, "h|.|d|L": -2.0, "h|.|d|U": -0.5, "cq|」|o": 2.5, "c|。|”|H": 2.0, "c|！|”|H": 2.0,
 }
 
 
@@ -188,17 +203,21 @@ class Model:
             return []
         score = score or self.score
         off, on = 0.0, score(spots[0][1])
+        if len(spots) == 1:
+            return [int(on > off)]
         back = []
-        for k in range(1, len(spots)):
-            gap, s = spots[k][0] - spots[k - 1][0], score(spots[k][1])
-            g = self.steps.get
-            a0, a1 = off + g(self.step(0, 0, gap), 0.0), on + g(self.step(1, 0, gap), 0.0)
-            b0, b1 = off + g(self.step(0, 1, gap), 0.0), on + g(self.step(1, 1, gap), 0.0)
-            back.append((int(a1 > a0), int(b1 > b0)))
-            off, on = max(a0, a1), max(b0, b1) + s
+        get = self.steps.get
+        rows = [[get((t, n, k), 0.0) for t in (0, 1) for n in (0, 1)] for k in range(6)]
+        last = spots[0][0]
+        for at, d in spots[1:]:
+            s00, s01, s10, s11 = rows[min((at - last) // 6, 5)]
+            s, last = score(d), at
+            a0, a1, b0, b1 = off + s00, on + s10, off + s01, on + s11
+            back.append((a1 > a0, b1 > b0))
+            off, on = a1 if a1 > a0 else a0, (b1 if b1 > b0 else b0) + s
         tags = [int(on > off)]
         for row in reversed(back):
-            tags.append(row[tags[-1]])
+            tags.append(int(row[tags[-1]]))
         return tags[::-1]
 
     def train(self, sequences: list[tuple[list, list[int]]], epochs: int = EPOCHS, seed: int = SEED) -> Model:
@@ -232,9 +251,10 @@ class Model:
 
 
 def strung(items: list[str], seed: int = SEED) -> list[tuple[list, list[int]]]:
-    """Labelled sequences: items of one script strung together, their ends the only boundaries."""
+    """Labelled sequences: items of one script strung together, their ends the only boundaries. The order of the items does
+    not matter: they are strung in the order of their hashes."""
     rng, groups = random.Random(seed), defaultdict(list)
-    for item in items:
+    for item in sorted(set(items), key=lambda x: (zlib.crc32(x.encode()), x)):
         blank_ended = bool(_HAS_BLANK_ENDED.search(item))
         if blank_ended:
             item = item.rstrip(ENDS + " ")
@@ -244,7 +264,7 @@ def strung(items: list[str], seed: int = SEED) -> list[tuple[list, list[int]]]:
         groups["blank" if blank_ended else "solid" if first in "KH" or re.search("[぀-ヿ一-鿿]", item) else "spaced"].append(item)
     out = []
     for kind, members in sorted(groups.items()):
-        for _ in range(2):
+        for _ in range(ARRANGEMENTS):
             rng.shuffle(members)
             for at in range(0, len(members), 5):
                 text, ends = "", set()
@@ -280,6 +300,13 @@ class Lines:
 
     def block(self, text: str, start: int, end: int) -> None:
         lines, at = [], start
+        if _LINE.search(text, start, end) is None:
+            if text[start:end].strip(" \t\xa0​﻿　"):
+                m = _BULLET.match(text, start, end)
+                if m:
+                    self.items.append(len(self.runs))
+                self.runs.append((start, end, m.end() if m else start))
+            return
         for m in _LINE.finditer(text, start, end):
             lines.append((at, m.start()))
             at = m.end()
@@ -312,7 +339,7 @@ class Lines:
 
     @staticmethod
     def spec(line: str) -> bool:
-        if not _SPEC.match(line):
+        if (":" not in line and "：" not in line) or not _SPEC.match(line):
             return False
         value = re.split("[:：]", line, maxsplit=1)[1]
         return bool(_VALUE.match(value)) and not re.search(rf"[{re.escape(ENDS)}][{re.escape(CLOSERS)}]*[{SPACE}]*$", re.sub(r"\b\w{1,4}\.\s*$", "", line))
@@ -348,12 +375,12 @@ def list_items(documents: DataFrame) -> DataFrame:
         for frame in batches:
             found = set()
             for text in frame["text"]:
-                if text and _BULLET.search(text):
+                if text and _LISTED.search(text):
                     lines = Lines(text)
                     for k in lines.items:
                         a, b, skip = lines.runs[k]
                         item = " ".join(text[skip:b].split())
-                        if 8 <= len(item) <= 400:
+                        if ITEM_LENGTH[0] <= len(item) <= ITEM_LENGTH[1]:
                             found.add(item)
             if found:
                 yield pd.DataFrame({"item": sorted(found)})

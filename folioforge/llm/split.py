@@ -76,18 +76,13 @@ def bisect(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
     return [(max(0, s - overlap) if s else 0, e) for s, e in cuts]
 
 
-PIECES = "doc_stem string, id string, chunk_id string, page int, block_order int, piece int, pieces int, starts int, ends int, text string"
+SPANS = "doc_stem string, id string, spans array<struct<starts:int,ends:int>>"
 
 
 def cut_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches:
-        rows = []
-        for doc, id_, chunk, page, order, text in zip(frame["doc_stem"], frame["id"], frame["chunk_id"], frame["page"], frame["block_order"], frame["text"]):
-            spans = bisect(text)
-            rows += [(doc, id_, chunk, page, order, n, len(spans), s, e, text[s:e]) for n, (s, e) in enumerate(spans, 1)]
-        if rows:
-            out = pd.DataFrame(rows, columns=["doc_stem", "id", "chunk_id", "page", "block_order", "piece", "pieces", "starts", "ends", "text"])
-            yield out.astype({"page": "Int64", "block_order": "Int64"})
+        spans = [[{"starts": s, "ends": e} for s, e in bisect(text)] for text in frame["text"]]
+        yield pd.DataFrame({"doc_stem": frame["doc_stem"], "id": frame["id"], "spans": spans})
 
 
 def oversized_pieces(blocks: DataFrame) -> DataFrame:
@@ -98,14 +93,20 @@ def oversized_pieces(blocks: DataFrame) -> DataFrame:
     part_id. Extra columns are ignored.
     """
     wanted = blocks.select("doc_stem", "id", "chunk_id", "page", "block_order", "text").where(F.length("text") > LIMIT)
-    # one row per block first, by key and hash, so that long texts are shuffled once at most
+    # texts are shuffled once, by the block's key; the pieces are cut from them where they lie
     once = wanted.dropDuplicates(["doc_stem", "id"])
-    pieces = once.mapInPandas(cut_blocks, PIECES)
-    # numbering needs the number of pieces of earlier blocks of the chunk only
-    chunk = Window.partitionBy("doc_stem", "chunk_id").orderBy("page", "block_order", "id", "piece")
-    return pieces.withColumn("part", F.row_number().over(chunk)).select(
-        F.concat("chunk_id", F.lit("__part"), F.col("part").cast("string")).alias("part_id"), "chunk_id", "doc_stem", "id", "piece", "pieces", "starts", "ends", "text"
-    )
+    spans = once.select("doc_stem", "id", "text").mapInPandas(cut_blocks, SPANS)
+    # numbering needs how many pieces earlier blocks of the chunk have, and no texts; blocks without chunk get no number
+    sizes = spans.select("doc_stem", "id", F.size("spans").alias("_n"))
+    places = wanted.where("chunk_id is not null").groupBy("doc_stem", "id").agg(F.first("chunk_id").alias("chunk_id"), F.first("page").alias("page"), F.first("block_order").alias("block_order"))
+    chunk = Window.partitionBy("doc_stem", "chunk_id").orderBy("page", "block_order", "id").rowsBetween(Window.unboundedPreceding, -1)
+    before = places.join(sizes, ["doc_stem", "id"]).select("doc_stem", "id", F.coalesce(F.sum("_n").over(chunk), F.lit(0)).alias("_before"))
+    cut = once.alias("o").join(spans.alias("s"), F.expr("o.doc_stem <=> s.doc_stem and o.id <=> s.id")).join(before.alias("b"), F.expr("o.doc_stem <=> b.doc_stem and o.id <=> b.id"), "left")
+    rows = cut.select("o.chunk_id", "o.doc_stem", "o.id", "o.text", "_before", F.size("spans").alias("pieces"), F.posexplode("spans").alias("piece", "span"))
+    return rows.select(
+        F.concat("chunk_id", F.lit("__part"), (F.col("_before") + F.col("piece") + 1).cast("string")).alias("part_id"), "chunk_id", "doc_stem", "id", (F.col("piece") + 1).alias("piece"), "pieces",
+        F.col("span.starts").alias("starts"), F.col("span.ends").alias("ends"), F.substr("text", F.col("span.starts") + 1, F.col("span.ends") - F.col("span.starts")).alias("text"),
+    )
 
 
 def block_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

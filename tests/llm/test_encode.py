@@ -21,7 +21,8 @@ PARTS = ["a", "b", "the", "ing", " ", "  ", "\n", "é", "日本", "1", "22", "'s
 
 def test_any_chunking_gives_the_same_ids(v, reference, monkeypatch):
     monkeypatch.setattr(E, "WINDOW", 64)
-    monkeypatch.setattr(E, "LONG", 8)
+    monkeypatch.setattr(E, "MEMO_LENGTH", 8)
+    monkeypatch.setattr(E, "SETTLE", 16)
     rng = random.Random(4)
     for _ in range(600):
         text = "".join(rng.choice(PARTS) * rng.choice([1, 1, 1, 2, 40]) for _ in range(rng.randint(0, 40)))

@@ -52,3 +52,23 @@ def test_empty_tables(spark):
     docs, goal = spark.createDataFrame([], DOCS), spark.createDataFrame([("a", 1.0, 1)], TARGETS)
     assert M.draw(docs, goal).count() == 0
     assert M.draw(spark.createDataFrame([(1, "x", "en", "a", None, 0)], DOCS), spark.createDataFrame([], TARGETS)).count() == 0
+
+
+def test_margins_are_reported(spark, tmp_path):
+    docs = [(n, "word " * (5 + n % 7), ["a", "b", "c", "none", None][n % 5], ["en", "de-DE", None][n % 3], f"x_{['pumps', 'valves'][n % 2]}_{n}") for n in range(400)] + [(900, None, "a", "en", None), (901, "", "a", "en", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, doc_stem string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("a", 0.6, 2), ("b", 0.2, 1), ("c", 0.2, 1), ("gone", 0.0, 1)], "source string, target_share double, max_repeats int").write.parquet(f"{tmp_path}/mix_targets.parquet")
+    rows = {(r["axis"], r["value"]): r for r in M.mixture_margins(spark, str(tmp_path)).collect()}
+    assert abs(rows["source", "a"]["actual"] - 0.6) < 0.02 and abs(rows["source", "a"]["fitted"] - 0.6) < 1e-6
+    assert {k[0] for k in rows} == {"source", "lang", "topic"} and all(abs(r["fitted"] - r["goal"]) < 0.02 for r in rows.values())
+    for axis in ("source", "lang", "topic"):
+        assert abs(sum(r["actual"] for k, r in rows.items() if k[0] == axis) - 1) < 1e-9
+
+
+def test_slots_follow_the_size_of_a_source(spark, monkeypatch):
+    docs = spark.createDataFrame([(n, "word " * 8, "a", "en", "x_pumps_1") for n in range(500)], "doc_id long, text string, source string, lang string, doc_stem string")
+    targets = spark.createDataFrame([("a", 1.0, 3)], "source string, target_share double, max_repeats int")
+    for size in (7, 50_000):
+        monkeypatch.setattr(M, "SLOT_ROWS", size)
+        got = M.draw(docs, targets, total=500 * 8 * 1.5).collect()
+        assert abs(sum(r["copies"] for r in got) - 750 * 8 / got[0]["tokens"]) <= 2

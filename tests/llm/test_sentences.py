@@ -79,3 +79,10 @@ def test_documents(spark):
     out = S.split_documents(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r["doc_id"], r["end_pos"]) for r in out) == [(1, 4), (1, 9), (4, 4), (4, 9)]
     assert S.split_documents(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_training_does_not_depend_on_the_order_of_items():
+    items = [f"{a} {b}." for a in ("Ratings follow the U.S. editions of", "Clearance is 2 mm, i.e. less than", "Orders close at 4 p.m. on") for b in ("table", "the groove", "weekdays")]
+    mixed = items[::-1] + items[:3]
+    one, other = S.Model().train(S.strung(items)), S.Model().train(S.strung(mixed))
+    assert one.weights == other.weights and one.steps == other.steps
