@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import breadcrumb, split_breadcrumb, stable_id, strip
@@ -65,12 +65,26 @@ def search(products: DataFrame, query: str) -> DataFrame:
     return products if not q else products.where(fields.contains(q))
 
 
+PRODUCT = "product_id bigint, doc_stem string, chunk_id string, name string, model string, sku string, category string, description string, variant_group string"
+ATTRIBUTE = "attr_id bigint, doc_stem string, chunk_id string, entity string, key string, value string, unit string, location string"
+
+
 class Catalog:
     """Read access to published catalog tables."""
 
     def __init__(self, products: DataFrame, attributes: DataFrame):
         self.products, self.attributes = products, attributes
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, fmt: str = "json") -> Catalog:
+        """The published tables products and attributes below a path. Records that cannot be read are left out."""
+
+        def read(name: str, schema: str) -> DataFrame:
+            reader = spark.read.schema(schema)
+            return reader.option("mode", "DROPMALFORMED").json(f"{path}/{name}") if fmt == "json" else reader.format(fmt).load(f"{path}/{name}")
+
+        return cls(read("products", PRODUCT), read("attributes", ATTRIBUTE))
+
     def catalogs(self) -> DataFrame:
         return self.products.select("doc_stem").distinct()
 

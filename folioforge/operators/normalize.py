@@ -56,6 +56,24 @@ def merge_products(products: DataFrame, place: str = "product_id") -> DataFrame:
     return heads.join(chunks, IDENTITY).join(texts, IDENTITY, "left").join(categories, IDENTITY, "left").na.fill(0, ["categories"])
 
 
+def product_sources(products: DataFrame, place: str = "product_id") -> DataFrame:
+    """(identity, source, value, rank): the chunks, categories and evidence blocks of each product identity, each once, in the
+    order of their first record. As rows, so an identity with very many sources is no row of its own.
+
+    products: with source_evidence (array of page and block_id). Blank categories and null chunks are no sources."""
+    rows = identified(products).where("ident <> '\x1f'")
+    block = F.transform(F.coalesce("source_evidence", F.array().cast("array<struct<page:int,block_id:string>>")), lambda e: F.concat_ws(":", e["page"].cast("string"), e["block_id"]))
+    stated = F.array(
+        F.struct(F.lit("chunk").alias("source"), F.array("chunk_id").alias("values")),
+        F.struct(F.lit("category").alias("source"), F.array(F.nullif(clean("category"), F.lit(""))).alias("values")),
+        F.struct(F.lit("evidence").alias("source"), block.alias("values")),
+    )
+    each = rows.select(*IDENTITY, place, F.explode(stated).alias("s")).select(*IDENTITY, place, "s.source", F.posexplode("s.values").alias("_n", "value")).where("value is not null")
+    first = each.groupBy(*IDENTITY, "source", "value").agg(F.min(F.struct(place, "_n")).alias("_f"))
+    order = Window.partitionBy(*IDENTITY, "source").orderBy("_f", "value")
+    return first.select(*IDENTITY, "source", "value", F.row_number().over(order).alias("rank"))
+
+
 def normalized_attributes(attributes: DataFrame) -> DataFrame:
     """Keys in title case, measurements split into number and canonical unit; a given unit that contradicts the measured one is kept and marked.
 
@@ -143,8 +161,8 @@ def upsert(found: DataFrame, existing: DataFrame, keys: list[str], columns: list
 
 def seeded_sample(df: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame:
     """n rows of each group, chosen by a seeded hash: the same for any partitioning. Two steps keep a hot group spread."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    part = F.pmod(h, F.lit(64))
+    h = F.md5(F.concat_ws("\x1f", F.lit(str(seed)), F.col(key).cast("string")))
+    part = F.pmod(F.xxhash64(F.col(key)), F.lit(64))
     near = df.withColumn("_h", h).withColumn("_part", part)
     w1 = Window.partitionBy(group, "_part").orderBy("_h", key)
     w2 = Window.partitionBy(group).orderBy("_h", key)

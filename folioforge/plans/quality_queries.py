@@ -159,6 +159,9 @@ def oracle_sql():
         "q64_kept_items": f"""with {_ITEMS}, {A}, gone as (select distinct p.doc_stem, p.chunk_id, p.name from bad join p on p.product_id = bad.record_id), kp as (select * from p where product_id not in (select record_id from bad)),
   ka as (select a.* from a where not exists (select 1 from gone g where g.doc_stem = a.doc_stem and g.chunk_id = a.chunk_id and g.name = a.entity) or exists (select 1 from kp where kp.doc_stem = a.doc_stem and kp.chunk_id = a.chunk_id and (kp.name = a.entity or kp.sku = a.entity))),
   x as (select doc_stem, count(*) n from kp group by 1), y as (select doc_stem, count(*) n from ka group by 1) select coalesce(x.doc_stem, y.doc_stem) doc_stem, coalesce(x.n, 0) products, coalesce(y.n, 0) "attributes" from x full join y on x.doc_stem = y.doc_stem""",
+        "q53_unsupported_codes": f"""with {BLOCKS}, {P}, w as (select distinct doc_stem, chunk_id, regexp_replace(unnest(regexp_extract_all(upper(text), '[\\pL\\pN\\pM_/.-]+')), '[/.-]+$', '') t from blocks where text is not null and chunk_id is not null),
+  k as (select * from w where length(t) > 1 and regexp_matches(t, '^[A-Z0-9]') and regexp_matches(t, '^[A-Z./-]*[0-9]'))
+  select 'UNSUPPORTED_IDENTIFIER' as "rule", 'error' severity, doc_stem, product_id record_id from p where not ({_blank('sku')}) and not exists (select 1 from k where k.doc_stem = p.doc_stem and k.chunk_id = regexp_replace(p.chunk_id, '__part[0-9]+$', '') and k.t = upper({sql_strip('p.sku')}))""",
         "q28_garbage_ratio": f"with d as (select distinct doc_id, text from documents) select doc_id, round({_share('text')}, 9) odd_share from d",
         "q54_issue_summary": "with i as (select distinct * exclude (ingested_at) from review_issues) select severity, coalesce(trim(code), '') code, strftime(raised_at, '%Y-%m') period, count(*) issues, count(distinct doc_stem) documents from i group by 1, 2, 3",
         "q55_provenance": f"with {BLOCKS}, {P}, c as (select doc_stem, chunk_id, min(page) f, max(page) l, count(*) n from blocks where chunk_id is not null group by 1, 2) select product_id, f::bigint first_page, l::bigint last_page, n as blocks from p left join c on c.doc_stem = p.doc_stem and c.chunk_id = regexp_replace(p.chunk_id, '__part[0-9]+$', '')",

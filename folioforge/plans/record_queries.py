@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
-from folioforge.operators import catalog, graph, normalize
+from folioforge.operators import catalog, graph, normalize, replies
 from folioforge.plans.common import once, sql_strip
 
 
@@ -125,6 +125,20 @@ def q_run_summary(spark, sf_dir):
     )
 
 
+def q_run_totals(spark, sf_dir):
+    """What the replies of each backend hold, with failures and latency."""
+    r = once(spark, sf_dir, "extraction_runs", "run_id", "raw_response", "backend_used", "parse_error", "latency_s")
+    counts = [replies.reply_count("raw_response", k).alias(k) for k in ("products", "attributes", "relations")]
+    return r.select("backend_used", "parse_error", "latency_s", *counts).groupBy("backend_used").agg(
+        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ("products", "attributes", "relations")], F.count_if(F.col("parse_error").isNotNull()).alias("errors"), F.round(F.sum("latency_s"), 6).alias("latency"),
+    )
+
+
+def q_product_sources(spark, sf_dir):
+    p = once(spark, sf_dir, "retry_products", "product_id", "doc_stem", "chunk_id", "name", "model", "sku", "category", "source_evidence")
+    return normalize.product_sources(p).select("doc_stem", "kind", "ident", "source", "value", F.col("rank").cast("bigint").alias("rank"))
+
+
 def q_retry(spark, sf_dir):
     """Chunks to extract again: those whose last attempt failed."""
     r = runs(spark, sf_dir)
@@ -137,7 +151,7 @@ def queries():
         "q01_catalog_evaluation": q_evaluation, "q02_corpus_rollup": q_rollup, "q04_value_unit": q_value_unit, "q05_text_clean": q_clean, "q06_stable_ids": q_ids,
         "q15_product_merge": q_merge, "q16_attribute_dedup": q_attributes, "q17_relation_dedup": q_relations, "q18_variant_components": q_variants,
         "q19_alias_resolution": q_alias, "q20_item_attribute_join": q_item_attributes, "q24_priority_lookup": q_owner, "q36_category_tree": q_tree, "q37_tree_flatten_counts": q_tree_counts,
-        "q38_graph_nodes": q_nodes, "q39_graph_edges": q_edges, "q40_search": q_search, "q41_seeded_sample": q_sample, "q49_run_summary": q_run_summary, "q50_retry_candidates": q_retry,
+        "q38_graph_nodes": q_nodes, "q39_graph_edges": q_edges, "q40_search": q_search, "q41_seeded_sample": q_sample, "q49_run_summary": q_run_summary, "q65_product_sources": q_product_sources, "q66_run_totals": q_run_totals, "q50_retry_candidates": q_retry,
     }
 
 
@@ -148,7 +162,7 @@ R = "r as (select distinct run_id, doc_stem, chunk_id, attempt, raw_response, ba
 
 def clean(c):
     plain = f"translate({c}, '’‘“”–—®™', chr(39) || chr(39) || '\"\"--')"
-    return "coalesce(" + sql_strip(rf"regexp_replace({plain}, '\s+', ' ', 'g')") + ", '')"
+    return "coalesce(" + sql_strip(rf"regexp_replace({plain}, '[\s\pZ]+', ' ', 'g')") + ", '')"
 
 
 def filled(c):
@@ -207,6 +221,14 @@ OWNERS = f"""codes as (select distinct doc_stem, ident from i where kind = 'sku'
 names as (select doc_stem, lower({clean('name')}) low, min(ident) ident from i where {clean('name')} <> '' group by 1, 2 having count(distinct ident) = 1)"""
 
 
+_MEMBER = "coalesce(try_cast(json_extract_string(good, '$.{0}') as bigint), json_array_length(good, '$.{0}')::bigint)"
+_TOTALS = rf"""with r as (select distinct run_id, raw_response, backend_used, parse_error, latency_s from extraction_runs),
+  j as (select *, nullif(regexp_extract(regexp_replace(regexp_replace(raw_response, '(?s)<think>.*?</think>', '', 'g'), '```(?:json)?\s*', '', 'g'), '(?s)\{{.*\}}'), '') js from r),
+  k as (select *, replace(regexp_replace(js, ',\s*([}}\]])', '\1', 'g'), chr(39), '"') fixed from j), m as (select *, case when json_valid(js) then js when json_valid(fixed) then fixed end good from k)
+  select backend_used, coalesce(sum({_MEMBER.format('products')}), 0)::bigint products, coalesce(sum({_MEMBER.format('attributes')}), 0)::bigint "attributes", coalesce(sum({_MEMBER.format('relations')}), 0)::bigint relations,
+    count(parse_error) errors, round(sum(latency_s), 6) latency from m group by 1"""
+
+
 def oracle_sql():
     return {
         "q01_catalog_evaluation": f"""with {P}, {A}, {I}, x as (select doc_stem, count(distinct kind || chr(31) || ident) items, count(distinct case when kind = 'sku' then ident end) article_numbers, count(distinct model) models, count(distinct category) categories, count(distinct chunk_id) chunks from i group by 1),
@@ -214,6 +236,17 @@ def oracle_sql():
   select coalesce(x.doc_stem, y.doc_stem) doc_stem, coalesce(items, 0) items, coalesce(article_numbers, 0) article_numbers, coalesce(models, 0) models, coalesce(categories, 0) categories, coalesce(chunks, 0) chunks, coalesce(attributes, 0) attributes, coalesce(keys, 0) keys from x full join y on x.doc_stem = y.doc_stem""",
         "q02_corpus_rollup": f"with {P}, {I}, o as (select doc_stem, kind, ident, count(*) records from i group by 1, 2, 3) select coalesce(doc_stem, '(all)') doc_stem, sum(records)::bigint records, count(*) items, count(*) filter (kind = 'sku') codes from o group by rollup (doc_stem)",
         "q04_value_unit": f"with {A}, x as (select attr_id, {_V} number, {_U} canonical from a) select attr_id, round(number, 9) number, canonical from x where canonical is not null",
+        "q16_attribute_dedup": f"""with {A}, x as (select *, array_to_string(list_transform(regexp_extract_all({clean('key')}, '(\\pL+|[^\\pL]+)'), lambda w: upper(w[1]) || lower(w[2:])), '') key_norm, {clean('value')} cv, nullif({clean('unit')}, '') cu from a),
+  y as (select *, coalesce({ALIAS_MAP}[regexp_replace(lower(cu), '\\.+$', '')], lower(cu)) given, case when lower(key_norm) not in ('sku', 'model', 'part number', 'article number', 'description', 'thread size') then {_measure(sql_strip('cv'))[1]} end mu, {_measure(sql_strip('cv'))[0]} num from x),
+  z as (select *, coalesce(given, mu) unit_norm, case when mu is not null then num::varchar else cv end value_norm, coalesce(given <> mu, false) conflict from y)
+  select arg_min(attr_id, attr_id) attr_id, key_norm, unit_norm, arg_min(conflict, attr_id) conflict from z group by doc_stem, entity, key_norm, value_norm, unit_norm, location, chunk_id""",
+        "q41_seeded_sample": "with d as (select distinct doc_stem, split_part(doc_stem, '_', 1) vendor from retry_products), n as (select *, row_number() over (partition by vendor order by md5('42' || chr(31) || doc_stem), doc_stem) n from d) select doc_stem, vendor from n where n <= 3",
+        "q65_product_sources": f"""with p as (select distinct product_id, doc_stem, chunk_id, name, model, sku, category, source_evidence from retry_products), {I}, s as (
+  select doc_stem, kind, ident, 'chunk' source, product_id, 0 pos, chunk_id as "value" from i where chunk_id is not null union all select doc_stem, kind, ident, 'category', product_id, 0, {clean('category')} from i where {clean('category')} <> ''
+  union all select doc_stem, kind, ident, 'evidence', product_id, generate_subscripts(source_evidence, 1) - 1, concat_ws(':', unnest(source_evidence).page, unnest(source_evidence).block_id) from i),
+  f as (select doc_stem, kind, ident, source, "value", min(printf('%018d.%09d', product_id, pos)) f from s where ident <> chr(31) group by 1, 2, 3, 4, 5)
+  select doc_stem, kind, ident, source, "value", row_number() over (partition by doc_stem, kind, ident, source order by f, "value") "rank" from f""",
+        "q66_run_totals": _TOTALS,
         "q05_text_clean": f"with {P} select product_id, {clean('name')} as name, {clean('category')} category, coalesce(lower({sql_strip('model')}), '') model, coalesce({sql_strip(chr(39).join(['regexp_replace(description, ', chr(92) + 'r' + chr(92) + 'n?', ', chr(10), ', 'g', ')']))}, '') description from p",
         "q06_stable_ids": f"with {P} select product_id, {sid('SI', 'doc_stem', 'coalesce(sku, ' + chr(39) * 2 + ')', 'coalesce(name, ' + chr(39) * 2 + ')')} item_id, {jid('prod', 'doc_stem', 'coalesce(name, ' + chr(39) * 2 + ')', 'coalesce(sku, ' + chr(39) * 2 + ')')} node_id from p",
         "q15_product_merge": f"""with {MERGED}, d as (select doc_stem, kind, ident, description, min(product_id) pos from i where description is not null group by 1, 2, 3, 4),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +22,9 @@ BOX_KEYS = ("block_bbox", "bbox", "coordinate", "box")
 
 
 def find_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """(path, size, modified) of all files below a path, sorted by name; no contents are read."""
+    """(path, size, modified) of all files below a path; no contents are read. Names give an order where one is needed."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")).orderBy("path")
+    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
 def missing_files(spark: SparkSession, expected: DataFrame, path: str, pattern: str = "*") -> DataFrame:
@@ -29,6 +33,13 @@ def missing_files(spark: SparkSession, expected: DataFrame, path: str, pattern:
     return expected.join(have, "name", "left_anti")
 
 
+def require_files(spark: SparkSession, expected: DataFrame, path: str, pattern: str = "*", shown: int = 20) -> None:
+    """A FileNotFoundError naming the first missing files, if any of expected (name) is not there; nothing else is run."""
+    gone = [r["name"] for r in missing_files(spark, expected, path, pattern).orderBy("name").limit(shown).collect()]
+    if gone:
+        raise FileNotFoundError(f"not below {path}: {', '.join(gone)}")
+
+
 def content_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, sha256) of files, to tell stale results from current ones by an equi-join."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
@@ -85,6 +96,56 @@ def first_score(v: Column) -> Column:
     return F.coalesce(*[F.try_variant_get(v, f"$.{k}", "double") for k in SCORE_KEYS], mean)
 
 
+def stated_box(v: Column) -> Column:
+    """The box of an object: four corners or a polygon, the two corners left_top and right_bottom, or any of these under bbox
+    inside the box; null for anything else."""
+
+    def read(path: str) -> list[Column]:
+        near, far = (F.coalesce(*[F.try_variant_get(v, f"{path}.{k}", "array<double>") for k in names]) for names in (("left_top", "leftTop"), ("right_bottom", "rightBottom")))
+        corners = F.when((F.size(near) >= 2) & (F.size(far) >= 2), F.array(near[0], near[1], far[0], far[1]))
+        return [box(F.try_variant_get(v, path, "array<double>")), corners]
+
+    return F.coalesce(*[way for k in BOX_KEYS for path in (f"$.{k}", f"$.{k}.bbox") for way in read(path)])
+
+
+WALKED = "path string, doc_stem string, page int, place int, source_ref string, block string"
+
+
+def walk_blocks(pages: DataFrame) -> DataFrame:
+    """Objects anywhere in a page that have a box and a label or a text, in the order of the document: path, doc_stem, page,
+    place (from 1), source_ref (where it stands), block (VARIANT).
+
+    Pages are walked without recursion, in Arrow batches, so depth has no limit; a page is one record of its file."""
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            out = []
+            for path, doc, page, text in zip(frame["path"], frame["doc_stem"], frame["page"], frame["text"]):
+                found, todo = 0, [("$", json.loads(text))]
+                while todo:
+                    at, node = todo.pop()
+                    if isinstance(node, dict):
+                        if any(node.get(k) for k in BOX_KEYS) and any(isinstance(node.get(k), str) for k in (*LABEL_KEYS, *TEXT_KEYS)):
+                            found += 1
+                            out.append((path, doc, page, found, at, json.dumps(node, ensure_ascii=False)))
+                        inner = [(f"{at}.{k}", x) for k, x in node.items()]
+                    else:
+                        inner = [(f"{at}[{n}]", x) for n, x in enumerate(node)] if isinstance(node, list) else []
+                    todo += [(a, x) for a, x in reversed(inner) if isinstance(x, (dict, list))]
+            yield pd.DataFrame(out, columns=["path", "doc_stem", "page", "place", "source_ref", "block"])
+
+    rows = pages.select("path", "doc_stem", "page", F.to_json("item").alias("text")).where("text is not null")
+    return rows.mapInPandas(walk, WALKED).withColumn("block", F.parse_json("block"))
+
+
+def walked_candidates(pages: DataFrame) -> DataFrame:
+    """What page_candidates gives, of the objects of walk_blocks: for pages that keep their blocks under other names."""
+    label = F.coalesce(*[F.try_variant_get("block", f"$.{k}", "string") for k in LABEL_KEYS])
+    order = F.coalesce(*[F.try_variant_get("block", f"$.{k}", "int") for k in ORDER_KEYS], F.col("place"))
+    out = walk_blocks(pages).select("doc_stem", "page", order.alias("block_order"), F.lower(F.trim(label)).alias("label"), first_text(F.col("block")).alias("text"), stated_box(F.col("block")).alias("bbox"), first_score(F.col("block")).alias("confidence"), "source_ref")
+    return out.where("bbox is not null and (label is not null or text <> '')")
+
+
 def page_candidates(pages: DataFrame) -> DataFrame:
     """(doc_stem, page, block_order, label, text, bbox, confidence): blocks of pages whatever their shape.
 
@@ -94,7 +155,6 @@ def page_candidates(pages: DataFrame) -> DataFrame:
     found = F.coalesce(*[_list(F.col("item"), p) for p in lists])
     rows = pages.select("doc_stem", "page", F.posexplode(found).alias("n", "b"))
     label = F.coalesce(*[F.try_variant_get("b", f"$.{k}", "string") for k in LABEL_KEYS])
-    bbox = F.coalesce(*[F.try_variant_get("b", f"$.{k}", "array<double>") for k in BOX_KEYS])
     order = F.coalesce(*[F.try_variant_get("b", f"$.{k}", "int") for k in ORDER_KEYS], F.col("n"))
-    out = rows.select("doc_stem", "page", order.alias("block_order"), F.lower(F.trim(label)).alias("label"), first_text(F.col("b")).alias("text"), box(bbox).alias("bbox"), first_score(F.col("b")).alias("confidence"))
+    out = rows.select("doc_stem", "page", order.alias("block_order"), F.lower(F.trim(label)).alias("label"), first_text(F.col("b")).alias("text"), stated_box(F.col("b")).alias("bbox"), first_score(F.col("b")).alias("confidence"))
     return out.where("bbox is not null and (label is not null or text <> '')")

@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from folioforge.sources import ocr_json, sinks
 from folioforge.streaming import ingest
 
@@ -48,3 +51,59 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     ingest.run_available(ingest.typed_blocks(stream).drop("bbox"), str(tmp_path / "out"), str(tmp_path / "ck"))
     assert spark.read.parquet(str(tmp_path / "out")).count() > n
     assert ingest.page_counts(sample).count() > 0
+
+
+def test_blocks_are_found_anywhere_in_a_page(spark, tmp_path):
+    deep = {"bbox": {"left_top": [1, 2], "right_bottom": [3, 4]}, "type": "Text", "text": "inner"}
+    for _ in range(300):
+        deep = {"x": [deep]}
+    doc = {"page": 3, "sections": [{"cells": [{"box": [0, 0, 2, 2], "label": "table"}, {"box": [], "label": "none"}, {"label": "no box"}]}, deep, {"bbox": [1, 1, 5, 1, 5, 5, 1, 5], "content": "poly", "inner": {"coordinate": {"bbox": [5, 6, 7, 8]}, "name": "nested"}}]}
+    (tmp_path / "w.json").write_text(json.dumps(doc))
+    pages = ocr_json.page_records(ocr_json.read_documents(spark, str(tmp_path)))
+    out = ocr_json.walked_candidates(pages).orderBy("block_order").collect()
+    assert [(r["page"], r["text"], r["bbox"]) for r in out] == [(3, "table", [0, 0, 2, 2]), (3, "inner", [1, 2, 3, 4]), (3, "poly", [1, 1, 5, 5]), (3, "nested", [5, 6, 7, 8])]
+    assert out[0]["source_ref"] == "$.sections[0].cells[0]" and out[0]["label"] == "table"
+
+
+def test_missing_files_stop_the_run(spark, tmp_path):
+    (tmp_path / "a.pdf").write_text("x")
+    ocr_json.require_files(spark, spark.createDataFrame([("a.pdf",)], "name string"), str(tmp_path))
+    with pytest.raises(FileNotFoundError, match="b.pdf, c.pdf"):
+        ocr_json.require_files(spark, spark.createDataFrame([("a.pdf",), ("c.pdf",), ("b.pdf",)], "name string"), str(tmp_path))
+
+
+def test_a_failed_run_leaves_the_result_and_its_state(spark, tmp_path):
+    at = str(tmp_path / "out")
+    df = spark.createDataFrame([("d", 1)], "doc_stem string, v int")
+    sinks.publish(df, at)
+    with pytest.raises(Exception, match="no such"):
+        sinks.publish(df.select("doc_stem", F.raise_error(F.lit("no such value")).cast("int").alias("v")), at)
+    assert spark.read.parquet(at).first()["v"] == 1
+    assert sorted(r["state"] for r in sinks.last_status(spark, at).collect()) == ["complete", "failed"]
+    assert not [p for p in tmp_path.iterdir() if "staged" in p.name or "aside" in p.name]
+
+
+def test_saved_extractions_are_reused_where_chunks_are_the_same(spark):
+    schema = "doc_stem string, chunk_id string, place int"
+    saved = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("b", "1", 1), ("b", "2", 2), ("c", "1", 1)], schema).withColumn("reply", F.lit("x"))
+    asked = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("a", "2", 2), ("b", "2", 1), ("b", "1", 2), ("c", "1", 1), ("c", "2", 2)], schema)
+    assert {r["doc_stem"] for r in sinks.reusable(saved, asked).collect()} == {"a"}
+
+
+def test_recognition_results_belong_to_their_pages(spark):
+    pages = spark.createDataFrame([("d", n, f"img{n}") for n in range(7)], "doc_stem string, page int, payload string").repartition(2)
+    out = ingest.recognized(pages, lambda xs: [x.upper() for x in xs], "string", batch=2)
+    assert {(r["page"], r["result"]) for r in out.collect()} == {(n, f"IMG{n}") for n in range(7)}
+    with pytest.raises(Exception, match="1 results for 2 pages"):
+        ingest.recognized(pages, lambda xs: xs[:1], "string", batch=2).collect()
+
+
+def test_published_catalogs_are_loaded(spark, tmp_path):
+    from folioforge.operators.catalog import Catalog
+
+    (tmp_path / "products").mkdir()
+    (tmp_path / "attributes").mkdir()
+    (tmp_path / "products" / "a.json").write_text('{"product_id": 1, "doc_stem": "d", "name": "Valve", "sku": "V1", "other": 5}\n{broken\n')
+    (tmp_path / "attributes" / "a.json").write_text('{"attr_id": 1, "doc_stem": "d", "entity": "V1", "key": "Bore", "value": "3"}\n')
+    store = Catalog.load(spark, str(tmp_path))
+    assert store.health() == {"status": "ok", "catalogs": 1} and store.search("d", "valve").count() == 1
