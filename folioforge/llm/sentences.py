@@ -17,7 +17,9 @@ from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -360,10 +362,10 @@ def unit_spans(model: Model, text: str | None) -> list[tuple[int, int]]:
         at = 0
         for c in cuts:
             piece = run[at:c]
-            body = piece.strip(_TRIM)
-            if body:
-                a = at + piece.index(body)
-                out.append((start + a, start + a + len(body)))
+            left = len(piece.lstrip(_TRIM))
+            if left:
+                # what is left behind the white space begins and ends the unit
+                out.append((start + c - left, start + at + len(piece.rstrip(_TRIM))))
             at = c
     return out
 
@@ -402,22 +404,28 @@ UNIT = "doc_id bigint, unit int, start_pos bigint, end_pos bigint, text string"
 def split_documents(documents: DataFrame, with_text: bool = True) -> DataFrame:
     """One row per sentence unit: doc_id, unit (from 1), start_pos, end_pos, text; offsets count code points.
 
-    Null, empty and blank texts have no units. Texts of any length are split whole; repeated documents are split alike.
+    Null, empty and blank texts, and documents without doc_id, have no units. Texts of any length are split whole; repeated documents are split alike.
     The splitting itself shuffles nothing."""
     model = trained_model(documents)
     shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.steps))
     held: dict = {}
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.setdefault("model", Model(*shared.value))
-        for frame in batches:
-            rows = []
-            for doc, text in zip(frame["doc_id"], frame["text"]):
-                rows += [(doc, n, a, b, text[a:b] if with_text else None) for n, (a, b) in enumerate(unit_spans(m, text), 1)]
-            if rows:
-                yield pd.DataFrame(rows, columns=["doc_id", "unit", "start_pos", "end_pos", "text"])
-
-    return documents.select("doc_id", "text").where("text is not null").mapInPandas(find, UNIT)
+        for batch in batches:
+            texts, docs = batch.column("text").to_pylist(), batch.column("doc_id").to_numpy(zero_copy_only=False)
+            spans = [unit_spans(m, text) for text in texts]
+            sizes = np.fromiter(map(len, spans), dtype=np.int64, count=len(spans))
+            if not sizes.sum():
+                continue
+            places = np.array([x for own in spans for x in own], dtype=np.int64)
+            first = np.repeat(np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
+            columns = [np.repeat(docs, sizes), np.arange(1, len(places) + 1) - first, places[:, 0], places[:, 1]]
+            out = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())]
+            out.append(pa.array([t[a:b] for t, own in zip(texts, spans) for a, b in own], pa.string()) if with_text else pa.nulls(len(places), pa.string()))
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "unit", "start_pos", "end_pos", "text"])
+
+    return documents.select("doc_id", "text").where("text is not null and doc_id is not null").mapInArrow(find, UNIT)
 
 
 def sentence_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
