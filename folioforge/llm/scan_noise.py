@@ -260,29 +260,17 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         joined.clear()
         return framed(rows, ["kind", "key", "n"], COLUMNS)
 
+    before, found_here, tokens, halves = None, [], [], []
     for frame in batches:
         found = []
         for source, doc, id_, page, label, text in zip(frame["source_table"], frame["doc_stem"], frame["id"], frame["page"], frame["label"], frame["text"]):
-            text, page = prose(text), whole(page)
-            if "\n" not in text and "\r" not in text:
-                if text and not text.isspace():
-                    words.update(_TOKEN.findall(text.casefold()))
-                    found += single_line(source, doc, id_, page, label, text)
-                continue
-            b = Block(text, page, label)
-            mine = "" if page is None else str(page)
-            for i, k in enumerate(b.kind):
-                if k == "num":
-                    found.append(("num", source, doc, id_, page, i, None, 1, 0, 0, True))
-                elif k == "run":
-                    found.append(("alone" if b.whole else "line", source, doc, id_, page, i, b.fold(i), 1, int(b.whole and label in FURNITURE), -int(label in TITLES) if b.whole else int(b.interrupts(i)), i in b.numbered))
-                if k in ("run", "text") and mine and mine in b.lines[i]:
-                    found += numbered_line(source, doc, id_, page, i, b.lines[i])
-            if not b.whole:
-                found += [("broken", source, doc, id_, page, i, None, 1, 0, 0, False) for i, _ in b.breaks()]
-                if _CUT.search(text):
-                    joined.update((x + y).casefold() for x, y in _HALVES.findall(text))
-            words.update(_TOKEN.findall(glued(text).casefold()))
+            me = (plain_ends(text), whole(page), label)
+            if me != before:  # both tables mostly hold the same block, one behind the other
+                before, (found_here, tokens, halves) = me, surveyed(*me)
+            words.update(tokens)
+            if halves:
+                joined.update(halves)
+            found += [(kind, source, doc, id_, me[1], *rest) for kind, *rest in found_here]
         if found:
             yield framed(found, COLUMNS, COLUMNS)
         if len(words) > COUNTED:
@@ -290,6 +278,34 @@ def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield flush()
 
 
+def plain_ends(text: str) -> str:
+    return text.replace("\r\n", "\n").replace("\r", "\n") if "\r" in text else text
+
+
+def surveyed(text: str, page: int | None, label: str | None) -> tuple[list[tuple], list[str], list[str]]:
+    """(rows without place, tokens, words joined over line ends) of one block."""
+    text = prose(text)
+    if "\n" not in text:
+        if not text or text.isspace():
+            return [], [], []
+        return single_line(page, label, text), _TOKEN.findall(text.casefold()), []
+    b, found = Block(text, page, label), []
+    mine = "" if page is None else str(page)
+    for i, k in enumerate(b.kind):
+        if k == "num":
+            found.append(("num", i, None, 1, 0, 0, True))
+        elif k == "run":
+            found.append(("alone" if b.whole else "line", i, b.fold(i), 1, int(b.whole and label in FURNITURE), -int(label in TITLES) if b.whole else int(b.interrupts(i)), i in b.numbered))
+        if k in ("run", "text") and mine and mine in b.lines[i]:
+            found += numbered_line(page, i, b.lines[i])
+    halves = []
+    if not b.whole:
+        found += [("broken", i, None, 1, 0, 0, False) for i, _ in b.breaks()]
+        if _CUT.search(text):
+            halves = [(x + y).casefold() for x, y in _HALVES.findall(text)]
+    return found, _TOKEN.findall(glued(text).casefold()), halves
+
+
 _INTEGERS = frozenset(["page", "line", "n", "label_votes", "breaks_in"])
 
 
@@ -303,22 +319,20 @@ def framed(rows: list[tuple], given: list[str], columns: list[str]) -> pd.DataFr
 _HALVES = re.compile(rf"([\w@|!$]*[^\W\d_])[{HYPHENS}][ \t\xa0]*(?:\r\n|\r|\n)\s*([^\W\d_][\w@|!$]*)")
 
 
-def single_line(source, doc, id_, page, label, text) -> list[tuple]:
+def single_line(page: int | None, label: str | None, text: str) -> list[tuple]:
     """What a block of one line could be: a page number, or a candidate for a running line."""
     if page_number(text, page, label, False):
-        return [("num", source, doc, id_, page, 0, None, 1, 0, 0, True)]
+        return [("num", 0, None, 1, 0, 0, True)]
     rest, number = split_number(text, page)
-    out = numbered_line(source, doc, id_, page, 0, text) if page is not None and str(page) in text else []
+    out = numbered_line(page, 0, text) if page is not None and str(page) in text else []
     if label in FURNITURE or may_run(rest, True):
-        out.append(("alone", source, doc, id_, page, 0, fold_line(rest), 1, int(label in FURNITURE), -int(label in TITLES), number))
+        out.append(("alone", 0, fold_line(rest), 1, int(label in FURNITURE), -int(label in TITLES), number))
     return out
 
 
-def numbered_line(source, doc, id_, page, i, line) -> list[tuple]:
+def numbered_line(page: int, i: int, line: str) -> list[tuple]:
     """Rows for the page's number in a line that is no sentence."""
-    if sentence(line):
-        return []
-    return [("slot", source, doc, id_, page, i, key, 1, 0, 0, True) for key, _ in slots(line, page, True)]
+    return [] if sentence(line) else [("slot", i, key, 1, 0, 0, True) for key, _ in slots(line, page, True)]
 
 
 def sentence(line: str) -> bool:
@@ -330,7 +344,10 @@ def blocks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     semantic = table(spark, sf_dir, "semantic_blocks").select(F.lit("semantic_blocks").alias("source_table"), "doc_stem", "id", "page", F.col("source_type").alias("label"), "text")
     pages = table(spark, sf_dir, "ocr_pages").select("doc_stem", (F.col("page_index") + 1).alias("page"), F.posexplode("parsing_res_list").alias("n", "b"))
     scanned = pages.select(F.lit("ocr_pages").alias("source_table"), "doc_stem", F.format_string("p%d_b%03d", "page", "n").alias("id"), "page", F.col("b.block_label").alias("label"), F.col("b.block_content").alias("text"))
-    return semantic.unionByName(scanned).where("doc_stem is not null and id is not null and trim(text) <> ''").dropDuplicates(["source_table", "doc_stem", "id"])
+    both = semantic.unionByName(scanned).where("doc_stem is not null and id is not null and trim(text) <> ''")
+    # the two records of a block come to lie one behind the other, by the one shuffle that repeated deliveries need anyway
+    once = both.repartition("doc_stem", "id").dropDuplicates(["source_table", "doc_stem", "id"])
+    return once.sortWithinPartitions("doc_stem", "id", "source_table")
 
 
 # ---------------------------------------------------------------- misread words
@@ -457,75 +474,85 @@ def suspects_of(known: frozenset, competing: Sieve, running: Sieve, paged: Sieve
         the token is a half); pairs with a competing word (pair); lines that may be learnt running lines (line) or hold a
         number where learnt lines hold the page's (slot)."""
         fine, pairs, judged, rivals, begins = set(known), Counter(), set(), set(), {}
+
+        def examined(text: str, page: int | None, label: str | None) -> tuple[list[tuple], list[tuple[str, str]]]:
+            """(rows without block, pairs) of one block."""
+            out: list[tuple] = []
+            text = prose(text)
+            if not text:
+                return out, []
+            tokens_ = _TOKEN.findall(glued(text).casefold())
+            if not judged.issuperset(tokens_):
+                if len(judged) > COUNTED:
+                    judged.clear()
+                fresh = set(tokens_) - judged
+                judged.update(fresh)
+                rivals.update(t for t in fresh if t in competing)
+            beside = [] if rivals.isdisjoint(tokens_) else [p for p in zip(tokens_, tokens_[1:]) if p[0] in rivals or p[1] in rivals]
+            lines = lines_of(text)
+            for i, x in enumerate(lines):
+                line = x.strip()
+                if not line:
+                    continue
+                # most lines begin as none of the learnt ones do, and are not folded
+                start = line.split(None, 1)[0]
+                met = begins.get(start)
+                if met is None:
+                    if len(begins) > COUNTED:
+                        begins.clear()
+                    head = fold_line(start).partition(" ")[0]
+                    met = begins[start] = not head or head in heads or start[0].isdecimal()
+                edged = line[0] in _MAY_EDGE or line[-1] in _MAY_EDGE
+                if len(lines) > 1 and (met or edged):
+                    rest, number = split_number(x, page) if edged else (x, False)
+                    if (met or number) and (key := fold_line(rest)) in running:
+                        out.append(("line", i, key, None, None, None, None, None, number))
+                if met and not paged.empty and _NUMBER.search(x) and not sentence(x):
+                    out += [("slot", i, key, None, None, None, None, None, own) for key, own in slots(x, page) if key in paged]
+            odd = not fine.issuperset(tokens_)
+            if odd:
+                strange = [t for t in tokens_ if t not in fine]
+                if len(fine) < 4 * COUNTED:
+                    fine.update(t for t in strange if not likely(t))
+                odd = any(map(likely, strange))
+            # a word cut by furniture between its halves is joined below only
+            if not odd and not _CUT.search(text):
+                return out, beside
+            b = Block(text, page, label)
+            joined = {j: i for i, j in b.breaks()}
+            tokens: list[tuple[str, int, str | None]] = []
+            for i, k in enumerate(b.kind):
+                if k not in ("text", "run"):
+                    continue
+                line = _TOKEN.findall(b.lines[i].casefold())
+                if i in joined:
+                    head = _HEAD.findall(b.lines[joined[i]].casefold())
+                    tail = _TAIL.match(b.lines[i].casefold())
+                    if head and tail:
+                        one = head[0] + tail[1]
+                        if line and line[0] == tail[1]:
+                            line = line[1:]
+                        mine = [n for n, (t, at, _) in enumerate(tokens) if at == joined[i] and t == head[0]]
+                        if mine:
+                            del tokens[mine[-1]]
+                        tokens += [(one, joined[i], None), (head[0], joined[i], one), (tail[1], joined[i], one)]
+                tokens += [(t, i, None) for t in line]
+            for n, (t, i, of) in enumerate(tokens):
+                if t not in known and len(t) >= 3:
+                    for form in {t, t.strip("|!$")}:
+                        if len(form) >= 3 and likely(form):
+                            out.append(("token", i, form, tokens[n - 1][0] if n else None, tokens[n + 1][0] if n + 1 < len(tokens) else None, b.fold(i), of, None, None))
+            return out, beside
+
+        before, rows, beside = None, [], []
         for frame in batches:
             out = []
             for source, doc, id_, page, label, text in zip(frame["source_table"], frame["doc_stem"], frame["id"], frame["page"], frame["label"], frame["text"]):
-                text = prose(text)
-                if not text:
-                    continue
-                tokens_ = _TOKEN.findall(glued(text).casefold())
-                if not judged.issuperset(tokens_):
-                    if len(judged) > COUNTED:
-                        judged.clear()
-                    fresh = set(tokens_) - judged
-                    judged |= fresh
-                    rivals.update(t for t in fresh if t in competing)
-                if not rivals.isdisjoint(tokens_):
-                    pairs.update(p for p in zip(tokens_, tokens_[1:]) if p[0] in rivals or p[1] in rivals)
-                lines, number_ = lines_of(text), whole(page)
-                for i, x in enumerate(lines):
-                    line = x.strip()
-                    if not line:
-                        continue
-                    # most lines begin as none of the learnt ones do, and are not folded
-                    start = line.split(None, 1)[0]
-                    met = begins.get(start)
-                    if met is None:
-                        if len(begins) > COUNTED:
-                            begins.clear()
-                        head = fold_line(start).partition(" ")[0]
-                        met = begins[start] = not head or head in heads or start[0].isdecimal()
-                    edged = line[0] in _MAY_EDGE or line[-1] in _MAY_EDGE
-                    if len(lines) > 1 and (met or edged):
-                        rest, number = split_number(x, number_) if edged else (x, False)
-                        if (met or number) and (key := fold_line(rest)) in running:
-                            out.append(("line", source, doc, id_, i, key, None, None, None, None, None, number))
-                    if met and not paged.empty and _NUMBER.search(x) and not sentence(x):
-                        out += [("slot", source, doc, id_, i, key, None, None, None, None, None, own) for key, own in slots(x, number_) if key in paged]
-                odd = not fine.issuperset(tokens_)
-                if odd:
-                    strange = [t for t in tokens_ if t not in fine]
-                    if len(fine) < 4 * COUNTED:
-                        fine.update(t for t in strange if not likely(t))
-                    odd = any(map(likely, strange))
-                # a word cut by furniture between its halves is joined below only
-                if not odd and not _CUT.search(text):
-                    continue
-                b = Block(text, whole(page), label)
-                goes_on = dict(b.breaks())
-                joined = {j: i for i, j in goes_on.items()}
-                tokens: list[tuple[str, int, str | None]] = []
-                for i, k in enumerate(b.kind):
-                    if k not in ("text", "run"):
-                        continue
-                    line = [t for t in _TOKEN.findall(b.lines[i].casefold())]
-                    if i in joined:
-                        head = _HEAD.findall(b.lines[joined[i]].casefold())
-                        tail = _TAIL.match(b.lines[i].casefold())
-                        if head and tail:
-                            one = head[0] + tail[1]
-                            if line and line[0] == tail[1]:
-                                line = line[1:]
-                            mine = [n for n, (t, at, _) in enumerate(tokens) if at == joined[i] and t == head[0]]
-                            if mine:
-                                del tokens[mine[-1]]
-                            tokens += [(one, joined[i], None), (head[0], joined[i], one), (tail[1], joined[i], one)]
-                    tokens += [(t, i, None) for t in line]
-                for n, (t, i, of) in enumerate(tokens):
-                    if t not in known and len(t) >= 3:
-                        for form in {t, t.strip("|!$")}:
-                            if len(form) >= 3 and likely(form):
-                                out.append(("token", source, doc, id_, i, form, tokens[n - 1][0] if n else None, tokens[n + 1][0] if n + 1 < len(tokens) else None, b.fold(i), of, None, None))
+                me = (plain_ends(text), whole(page), label)
+                if me != before:
+                    before, (rows, beside) = me, examined(*me)
+                pairs.update(beside)
+                out += [(kind, source, doc, id_, *rest) for kind, *rest in rows]
             if out:
                 yield framed(out, SUSPECTED, SUSPECTED)
             if len(pairs) > COUNTED:
@@ -644,7 +671,8 @@ def scan_findings(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
 
 def noisy_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source_table, doc_stem, id, noise), each kind of a block once."""
-    items, *_ = scan_findings(blocks_of(spark, sf_dir))
+    items, _, _, blocks = scan_findings(blocks_of(spark, sf_dir))
+    release(blocks)  # the copy of all texts; what is left to do reads findings only
     return items.select("source_table", "doc_stem", "id", "noise").distinct()
 
 
