@@ -24,6 +24,13 @@ UNIT_ALIASES = {
     "°": "°", "deg": "°", "degree": "°", "degrees": "°", "tpi": "TPI", "pitch": "pitch", "%": "%", "percent": "%",
 }
 
+# Forms of a measurement, in the order in which they are tried.
+MEASUREMENTS = (
+    r"^(\d+/\d+)\s*([a-zA-Z\"'°]+)\s*$",
+    r"^\s*([+-]?\d{1,3}(?:[,\s]\d{3})*(?:\.\d+)?|\d+(?:\.\d+)?)\s*([^\d\s][^\n]*?)\s*$",
+    r"^((?:\d+/\d+|\d+(?:\.\d+)?))\s*([a-zA-Z\"'°]+)$",
+)
+
 # Texts read as null in records and in model replies.
 NULL_WORDS = ("null", "none", "n/a", "")
 REPLY_NULL_WORDS = ("null", "none", "")
@@ -94,19 +101,13 @@ def unit_alias(c: str | Column) -> Column:
 def value_unit(c: str | Column) -> Column:
     """struct<value double, unit string, raw string> of a measurement in text, else null: a fraction with a unit, a whole
     text of number and unit, or a number run together with its unit, in this order."""
-    ways = (
-        r"^(\d+/\d+)\s*([a-zA-Z\"'°]+)\s*$",
-        r"^\s*([+-]?\d{1,3}(?:[,\s]\d{3})*(?:\.\d+)?|\d+(?:\.\d+)?)\s*([^\d\s][^\n]*?)\s*$",
-        r"^((?:\d+/\d+|\d+(?:\.\d+)?))\s*([a-zA-Z\"'°]+)$",
-    )
-
     def way(raw: Column, pattern: str) -> Column:
         amount = number(F.regexp_extract(raw, pattern, 1))
         stated = lambda unit: let(amount, lambda v: F.when(v.isNotNull(), F.struct(v.alias("value"), unit.alias("unit"), raw.alias("raw"))))
         return let(unit_alias(F.regexp_extract(raw, pattern, 2)), lambda unit: F.when(unit.isNotNull(), stated(unit)))
 
     # texts without a digit are no measurements; most texts end here
-    return F.when(col(c).rlike(r"\d"), let(strip(c), lambda raw: F.coalesce(*[way(raw, p) for p in ways])))
+    return F.when(col(c).rlike(r"\d"), let(strip(c), lambda raw: F.coalesce(*[way(raw, p) for p in MEASUREMENTS])))
 
 
 def stable_id(prefix: str, *parts: str | Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import chunk_page, json_list_id
-from folioforge.operators.normalize import IDENTITY, first_by, identified, merge_products, resolve_owner, strip
+from folioforge.operators.normalize import identified, merge_products, resolve_owner
+from folioforge.runtime import cut
 
 
 def _blank(c):
@@ -37,7 +38,8 @@ def edges(products: DataFrame, attributes: DataFrame, runs: DataFrame, relations
     """(src, dst, rel): HAS_SECTION, CONTAINS (from the first chunk), BELONGS_TO, HAS_ATTRIBUTE, and IS_VARIANT_OF and
     HAS_MATERIAL where both ends are products; unresolved ends, self-loops and other predicates are left out."""
     n = node_parts(products, attributes, runs)
-    sections, prods = n["Section"], n["Product"]
+    # all kinds of edges but one begin or end at products, which are merged once
+    sections, prods = n["Section"], cut(n["Product"], "products")
     has_section = sections.select(json_list_id("doc", "doc_stem").alias("src"), F.col("id").alias("dst"), F.lit("HAS_SECTION").alias("rel"))
     contains = prods.where("first_chunk is not null").select(json_list_id("sec", "doc_stem", "first_chunk").alias("src"), F.col("id").alias("dst"), F.lit("CONTAINS").alias("rel")).join(sections.select(F.col("id").alias("src")), "src", "left_semi")
     belongs = prods.where("category is not null").select(F.col("id").alias("src"), json_list_id("cat", "category").alias("dst"), F.lit("BELONGS_TO").alias("rel"))

@@ -21,6 +21,7 @@ TOP_LEVEL = ("title", "chapter", "doc_title")
 SECOND_LEVEL = ("heading", "subtitle", "section", "section_title", "paragraph_title")
 DETAIL_TITLES = ("specifications", "technical specifications", "features", "ordering information")
 
+# A line that states a value, a price, a dimension and a word that could be a model.
 KEY_VALUE = r"(?m)^[^:\n]{2,40}:\s*.+$"
 PRICE = r"[$€£]\s?\d"
 DIMENSION = r"(?i)\b\d+(?:\.\d+)?\s?(?:in|mm|cm|m|ft|lb|oz|kg|g|w|v|amp|amps)\b"

@@ -90,14 +90,15 @@ def marked_by_buckets(refs: DataFrame, hashes: DataFrame, bits: int) -> DataFram
     """Adds _may by filters of BUCKET_BITS, one for each bucket of key hashes.
 
     Filters and references of a bucket meet in the same tasks, the filter's words first, so a task holds one filter and
-    streams its references. A bucket with very many references, as of a hot key, goes to several tasks, each with a copy."""
+    streams its references. A bucket with very many references, as of a hot key, goes to several tasks, each with a copy;
+    which one a reference goes to depends on the reference alone, so a task that is run again gets the same ones."""
     n = -(-bits // BUCKET_BITS)
     bucket = lambda h: F.pmod(F.xxhash64(h), F.lit(n)).cast("int")
     hashed = refs.withColumn("_h", key_hash()).withColumn("_bucket", bucket(F.col("_h")))
     # as many rows as there are filters, each of which stands for more than 100,000 keys
     salts = F.broadcast(hashed.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("_salts")))
     row = F.struct(*refs.columns)
-    there = hashed.join(salts, "_bucket").select("_bucket", F.pmod(F.xxhash64(F.rand(17)), "_salts").cast("int").alias("_salt"), F.lit(None).cast("int").alias("_word"), F.col("_h").alias("_bits"), row.alias("_row"))
+    there = hashed.join(salts, "_bucket").select("_bucket", F.pmod(F.xxhash64(F.lit(17), *refs.columns), "_salts").cast("int").alias("_salt"), F.lit(None).cast("int").alias("_word"), F.col("_h").alias("_bits"), row.alias("_row"))
     words = words_of(hashes.withColumn("_bucket", bucket(F.col("h"))), BUCKET_BITS, "_bucket").join(salts, "_bucket")
     words = words.select("_bucket", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"), F.col("word").alias("_word"), F.col("mask").alias("_bits"), F.lit(None).cast(there.schema["_row"].dataType).alias("_row"))
     met = words.unionByName(there).repartition("_bucket", "_salt").sortWithinPartitions("_bucket", "_salt", F.col("_word").isNull())

@@ -8,7 +8,7 @@ from folioforge.functions import text as tx
 from folioforge.operators import evidence, extract, outline, replies, tables
 from folioforge.plans.common import BLOCKS, blocks, once, sql_lines
 from folioforge.plans.record_queries import P, R, products, runs
-from folioforge.runtime import table
+from folioforge.runtime import cut, table
 
 
 def q_windows(spark, sf_dir):
@@ -46,7 +46,8 @@ def _tables(spark, sf_dir):
 
 
 def rows_of_tables(spark, sf_dir):
-    return tables.table_rows(_tables(spark, sf_dir))
+    """Rows of all tables, parsed once for the several steps that read them."""
+    return cut(tables.table_rows(_tables(spark, sf_dir)), "rows")
 
 
 def q_continuation(spark, sf_dir):
@@ -87,7 +88,7 @@ def q_row_prices(spark, sf_dir):
 def _read(spark, sf_dir):
     paths = outline.dynamic_sections(blocks(spark, sf_dir)).select("doc_stem", "id", "section_path")
     rows = rows_of_tables(spark, sf_dir).join(paths, ["doc_stem", "id"], "left").withColumn("section_path", F.coalesce("section_path", F.array().cast("array<string>")))
-    return extract.read_rows(rows)
+    return extract.read_rows(cut(rows, "rows"))
 
 
 def q_table_products(spark, sf_dir):
