@@ -52,7 +52,7 @@ def queries():
 def oracle_sql():
     return {
         "p3_found": "select distinct chunk_id, id from semantic_blocks where length(text) > 3000",
-        "p3_checks": "select distinct doc_stem, id, length(text) chars, true fits, true overlaps from semantic_blocks where length(text) > 3000",
+        "p3_checks": "select distinct doc_stem, id, length(text) chars, true fits, true \"overlaps\" from semantic_blocks where length(text) > 3000",
         "p7_checks": "select doc_id, true exact from documents",
         "p8_checks": "select distinct t.source, true as \"close\" from mix_targets t join documents d on d.source = t.source where length(d.text) > 0 and target_share > 0 and max_repeats > 0",
     }
