@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from folioforge.functions import text as tx
 from folioforge.operators import catalog, graph, normalize, replies
 from folioforge.plans.common import once, sql_strip
-from folioforge.runtime import cut
 
 
 def products(spark, sf_dir):
@@ -96,8 +95,7 @@ def q_tree_counts(spark, sf_dir):
 
 
 def _graph(spark, sf_dir):
-    # read by several kinds of nodes and edges: made distinct once
-    return cut(products(spark, sf_dir), "products"), attributes(spark, sf_dir), once(spark, sf_dir, "extraction_runs", "doc_stem", "chunk_id")
+    return products(spark, sf_dir), attributes(spark, sf_dir), once(spark, sf_dir, "extraction_runs", "doc_stem", "chunk_id")
 
 
 def q_nodes(spark, sf_dir):
