@@ -50,7 +50,8 @@ def block_links(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
     links = up.unionByName(down).groupBy("doc_stem", "child", "parent").agg(F.max("own").alias("own"))
     child = nodes.select("doc_stem", F.col("id").alias("child"), F.col("slice").alias("child_slice"))
     parent = nodes.select("doc_stem", F.col("id").alias("parent"), F.col("slice").alias("parent_slice"))
-    return links.join(child, ["doc_stem", "child"]).join(parent, ["doc_stem", "parent"])
+    # merged: a stored table is many times smaller than its rows, and by its size the driver would get all nodes
+    return links.join(child.hint("merge"), ["doc_stem", "child"]).join(parent.hint("merge"), ["doc_stem", "parent"])
 
 
 # ---------------------------------------------------------------- cycles
@@ -542,12 +543,12 @@ def tour_lists(nodes: DataFrame, links: DataFrame, cycles: DataFrame) -> DataFra
 
     Of several parents the one recorded in parent_id counts, then the smallest id. Blocks on cycles are roots. Siblings
     are ordered by page, order and id: inside a page by one window, over pages by another, so a parent of very many
-    blocks is split by page.
+    blocks is split by page. Frames that grow with the nodes are merged, whatever size their stored tables suggest.
     """
     on_cycle = cycles.select("doc_stem", F.col("id").alias("child"))
     tree = links.groupBy("doc_stem", "child").agg(F.min(F.struct(~F.col("own"), "parent", "parent_slice")).alias("p")).join(on_cycle, ["doc_stem", "child"], "left_anti")
     tree = tree.select("doc_stem", F.col("child").alias("id"), F.col("p.parent").alias("parent"), F.col("p.parent_slice").alias("parent_slice"))
-    full = nodes.join(tree, NODE, "left").withColumn("_page", F.coalesce("page", F.lit(-1)))
+    full = nodes.join(tree.hint("merge"), NODE, "left").withColumn("_page", F.coalesce("page", F.lit(-1)))
     me = F.struct("id", "slice")
     in_page = Window.partitionBy("doc_stem", "parent", "_page").orderBy("ord", "id")
     kids = full.where("parent is not null").withColumn("_next", F.lead(me).over(in_page)).withColumn("_first", F.row_number().over(in_page) == 1)
@@ -555,11 +556,11 @@ def tour_lists(nodes: DataFrame, links: DataFrame, cycles: DataFrame) -> DataFra
     over_pages = Window.partitionBy("doc_stem", "parent").orderBy("_page")
     pages = pages.withColumn("_turn", F.lead("_head").over(over_pages)).withColumn("_eldest", F.row_number().over(over_pages) == 1)
     eldest = pages.where("_eldest").select("doc_stem", F.col("parent").alias("id"), F.col("_head").alias("_child"))
-    kids = kids.join(pages.select("doc_stem", "parent", "_page", "_turn"), ["doc_stem", "parent", "_page"], "left").withColumn("_sibling", F.coalesce("_next", "_turn"))
+    kids = kids.join(pages.select("doc_stem", "parent", "_page", "_turn").hint("merge"), ["doc_stem", "parent", "_page"], "left").withColumn("_sibling", F.coalesce("_next", "_turn"))
     columns = ["doc_stem", "id", "slice", "parent", "parent_slice"]
     all_ = kids.select(*columns, "_sibling").unionByName(full.where("parent is null").select(*columns).withColumn("_sibling", F.lit(None).cast(kids.schema["_sibling"].dataType)))
     return (
-        all_.join(eldest, NODE, "left")
+        all_.join(eldest.hint("merge"), NODE, "left")
         .join(cycles, NODE, "left")
         .select(*columns, F.col("_child.id").alias("first_child"), F.col("_child.slice").alias("first_slice"), F.col("_sibling.id").alias("sibling"), F.col("_sibling.slice").alias("sibling_slice"), "cycle_id")
     )
@@ -606,6 +607,8 @@ def hierarchy(blocks: DataFrame) -> DataFrame:
     cycles = cut(find_cycles(links), "cycles")
     lists = tour_lists(nodes, links, cycles)
     segments = cut(by_slice(lists, "slice").mapInPandas(tours_in_slices, SEGMENT), "segments")
+    for step in (nodes, links, cycles):
+        release(step)
     places, chains = segments.where("id is not null"), segments.where("chain is not null")
     ranks = rank_chains(chains)
     at_enter = ranks.select(F.col("chain").alias("enter_head"), F.col("rest").alias("r1"), F.col("dsum").alias("d1"), "root")

@@ -9,7 +9,7 @@ from folioforge.operators import layout, outline
 from folioforge.operators import hierarchy
 from folioforge.plans.problems import WALK
 from folioforge.plans.common import BLOCKS, PAGES, blocks, outlined, pages, rounded, sql_lines, sql_strip
-from folioforge.runtime import cut, table
+from folioforge.runtime import table
 
 
 def q_page_blocks(spark, sf_dir):
@@ -95,7 +95,7 @@ def q_extraction_roles(spark, sf_dir):
 
 def q_hierarchy_chunks(spark, sf_dir):
     raw = table(spark, sf_dir, "semantic_blocks")
-    tree = cut(hierarchy.hierarchy(raw.select("doc_stem", "id", "page", "block_order", "parent_id", "children_ids")), "tree")
+    tree = hierarchy.hierarchy(raw.select("doc_stem", "id", "page", "block_order", "parent_id", "children_ids"))
     return outline.hierarchy_chunks(raw.select("doc_stem", "id", "page", "block_order", "type", F.when(F.col("type") == "heading", F.col("text")).alias("text")), tree).select("doc_stem", "id", F.col("chunk_no").cast("bigint").alias("chunk_no"), F.array_join("section_path", " > ").alias("section_path"))
 
 
